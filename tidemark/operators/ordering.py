@@ -15,7 +15,7 @@ from tidemark.sources.staging import staged
 PART = "_part"
 
 # Up to this many rows one task is a proven bound, and the plain form is the cheaper one.
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 200_000
 
 
 def range_parts(df: DataFrame, *order: Column, partitions: int | None = None) -> DataFrame:

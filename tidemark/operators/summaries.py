@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,33 +89,27 @@ def describe(metrics: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     return _union(parts)
 
 
-def _correlations(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[tuple[str, str], Column]]:
-    """All pairs in one aggregate, and the column of each ordered pair."""
-    aggregates, pairs = [], {}
-    for i, (a, b) in enumerate(combinations_with_replacement(columns, 2)):
-        aggregates.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}"))
-        pairs[(a, b)] = pairs[(b, a)] = F.col(f"r{i}")
-    return df.agg(*aggregates), pairs
-
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson correlations, one row and one column per metric; rows with either value missing left out.
 
-def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair, rows with either value missing left out."""
-    one_row, pairs = _correlations(df, columns)
-    return stack_rows(
-        one_row,
-        [
-            {"MetricA": F.lit(a), "MetricB": F.lit(b), "Correlation": pairs[(a, b)]}
-            for a in columns
-            for b in columns
-        ],
+    Each row is repeated once per metric and folded by metric in the same task, so the aggregate holds
+    one correlation per column instead of one per pair and stays small enough for generated code.
+    """
+    values = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("Metric"), F.col(c).alias("x")) for c in columns]))
+    return (
+        values.select("*", one.alias("one"))
+        .groupBy(F.col("one.Metric").alias("Metric"))
+        .agg(*[F.corr("one.x", c).alias(c) for c in columns])
     )
 
 
-def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per metric, one column per metric."""
-    one_row, pairs = _correlations(df, columns)
-    return stack_rows(
-        one_row, [{"Metric": F.lit(a)} | {b: pairs[(a, b)] for b in columns} for a in columns]
+def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The correlation matrix with one row per ordered pair."""
+    return (
+        correlation_matrix(df, columns)
+        .withColumnRenamed("Metric", "MetricA")
+        .unpivot("MetricA", columns, "MetricB", "Correlation")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -14,30 +15,48 @@ from tidemark.operators.summaries import standardised
 from tidemark.sources.staging import staged
 
 FEATURES = ["MRR", "Seats", "Logins", "ActiveUsers", "SessionMinutes", "SatisfactionScore"]
+TOLERANCE = 0.005
 
 
 def vectors(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Features with their standardised vector, staged for the many passes of the fits."""
+    """Features, staged in even partitions, with their standardised vector."""
     columns = columns or FEATURES
-    scaled = standardised(staged(features, "features"), columns)
+    scaled = standardised(staged(features.hint("rebalance"), "features"), columns)
     assembler = VectorAssembler(inputCols=[f"{c}Scaled" for c in columns], outputCol="vector")
-    return staged(assembler.transform(scaled).select(KEY, *columns, "vector"), "vectors")
+    return assembler.transform(scaled).select(KEY, *columns, "vector")
 
 
-def fit(points: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallelism: int = 4) -> KMeansModel:
-    """The model with the lowest cost over several starts."""
+def best_fits(
+    points: DataFrame, ks: list[int], restarts: int = 10, seed: int = 42, parallelism: int = 8
+) -> dict[int, KMeansModel]:
+    """For each number of clusters, the model with the lowest cost over several starts.
 
-    def one(start: int) -> KMeansModel:
-        return KMeans(featuresCol="vector", k=k, seed=start, maxIter=300, tol=1e-4).fit(points)
+    The fits run side by side on one cached copy of the vectors. A fit ends when no centre moves by
+    more than ``TOLERANCE`` standard deviations.
+    """
+    cached = points.select("vector").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(task: tuple[int, int]) -> KMeansModel:
+        k, start = task
+        return KMeans(featuresCol="vector", k=k, seed=start, maxIter=300, tol=TOLERANCE).fit(cached)
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(one, range(seed, seed + restarts)))
-    return min(models, key=lambda model: model.summary.trainingCost)
+    tasks = [(k, seed + i) for k in ks for i in range(restarts)]
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            models = list(pool.map(fit, tasks))
+    finally:
+        cached.unpersist()
+    best: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(tasks, models):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def elbow_cost(points: DataFrame, ks: range = range(2, 7), restarts: int = 10) -> DataFrame:
     """Lowest cost for each number of clusters."""
-    costs = [(k, float(fit(points, k, restarts).summary.trainingCost)) for k in ks]
+    fits = best_fits(points, list(ks), restarts)
+    costs = [(k, float(fits[k].summary.trainingCost)) for k in ks]
     return points.sparkSession.createDataFrame(costs, "K int, Cost double")
 
 
@@ -75,7 +94,7 @@ def segments(
 ) -> DataFrame:
     """Customers with cluster number and segment name (four clusters)."""
     points = vectors(features)
-    model = fit(points, 4, restarts, seed)
+    model = best_fits(points, [4], restarts, seed)[4]
     names = names or names_by_centre(model)
     return (
         model.transform(points)
