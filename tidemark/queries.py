@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import cleaning, features, summaries
-from tidemark.plans import churn, cohorts, revenue, risk, segments, sql_queries
+from tidemark.plans import churn, cohorts, reports, revenue, risk, segments, sql_queries
 from tidemark.sources import adapters, readers, sinks
 from tidemark.sources.staging import new_folder, staged
 
@@ -115,23 +115,9 @@ def parse_numeric(spark, folder):
 
 @query("report_tables")
 def report_tables(spark, folder):
-    """The report set written as one folder per table, and the rows read back from each."""
-    customers, subscriptions, usage, tickets = _all(spark, folder)
-    summary = staged(features.customer_summary(customers, subscriptions), "summary")
-    reports = {
-        "customers": customers,
-        "subscriptions": subscriptions,
-        "usage": usage,
-        "tickets": tickets,
-        "customer_summary": summary,
-        "revenue_by_plan": revenue.revenue_by_plan(subscriptions),
-        "revenue_by_industry": revenue.revenue_by_customer_dimension(customers, subscriptions, "Industry"),
-        "revenue_by_channel": revenue.revenue_by_customer_dimension(
-            customers, subscriptions, "AcquisitionChannel"
-        ),
-        "kpi": revenue.kpi_table(summary),
-    }
-    paths = sinks.write_reports(reports, new_folder(spark, "reports"))
+    """The workbook's report set written as one folder per table, and the rows read back from each."""
+    tables = adapters.business_tables(spark, folder)
+    paths = reports.write_workbook(spark, tables, new_folder(spark, "reports"))
     return readers.table_shapes({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
@@ -441,7 +427,8 @@ def kpi_slices(spark, folder):
 @query("run_summary")
 def run_summary(spark, folder):
     """Counts that a full run reports, as one row."""
-    tables = adapters.business_tables(spark, folder)
+    # Every count reads these tables, so they are derived once.
+    tables = {name: staged(df, name) for name, df in adapters.business_tables(spark, folder).items()}
     children = (tables["subscriptions"], tables["usage"], tables["tickets"])
     parts = [
         *[df.agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name, df in tables.items()],
