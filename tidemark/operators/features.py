@@ -86,13 +86,10 @@ def latest_subscription(subscriptions: DataFrame) -> DataFrame:
     return latest_rows(subscriptions, KEY, "StartDate", "SubscriptionID")
 
 
-def analysis_date(customers: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """One row: the greatest date in the signup, start and end columns."""
-    signup = customers.agg(F.max("SignupDate").alias("_signup"))
-    spans = subscriptions.agg(F.max("StartDate").alias("_start"), F.max("EndDate").alias("_end"))
-    return signup.crossJoin(F.broadcast(spans)).select(  # one row each
-        F.greatest("_signup", "_start", "_end").alias("AnalysisDate")
-    )
+def analysis_date(customers: DataFrame, subscriptions: DataFrame) -> Column:
+    """The greatest date in the signup, start and end columns, as a scalar subquery."""
+    signup = customers.agg(F.max("SignupDate")).scalar()
+    return F.greatest(signup, subscriptions.agg(F.greatest(F.max("StartDate"), F.max("EndDate"))).scalar())
 
 
 def customer_summary(
@@ -102,10 +99,8 @@ def customer_summary(
     newest_status = F.max_by("Status", F.struct(F.col("StartDate").isNull(), "StartDate", "SubscriptionID"))
     revenue = revenue_by_customer(subscriptions, newest_status.alias("Status"))
     base = customers.select(KEY, "CompanyName", "Industry", "SignupDate").join(revenue, KEY, "left")
-    if as_of is not None:
-        dated = base.withColumn("AnalysisDate", F.lit(as_of))
-    else:
-        dated = base.crossJoin(F.broadcast(analysis_date(customers, subscriptions)))  # one row
+    last_day = F.lit(as_of) if as_of is not None else analysis_date(customers, subscriptions)
+    dated = base.withColumn("AnalysisDate", last_day)
     months = F.datediff("AnalysisDate", "SignupDate") / 30.44
     # greatest() skips NULL, so a missing signup date must be kept missing by hand.
     tenure = F.when(F.col("SignupDate").isNotNull(), F.round(F.greatest(months, F.lit(0.0)), 1))

@@ -116,60 +116,43 @@ def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 25) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; empty bins are kept."""
     values = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
-    bounds = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    # A single value gets a range of one around it.
+    widen = F.when(F.min("x") == F.max("x"), 0.5).otherwise(0.0)
+    bounds = values.agg(F.struct((F.min("x") - widen).alias("lo"), (F.max("x") + widen).alias("hi"))).scalar()
+    low, high = bounds["lo"], bounds["hi"]
+    place = F.floor((F.col("x") - low) / (high - low) * bins)
+    counts = values.groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("Bin")).agg(
+        F.count(F.lit(1)).alias("Records")
     )
-    width = (F.col("hi") - F.col("lo")) / bins
-    place = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
-    counts = (
-        values.crossJoin(F.broadcast(bounds))  # one row
-        .groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("Bin"))
-        .agg(F.count(F.lit(1)).alias("Records"))
-    )
-    all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("Bin"))
-    return (
-        all_bins.crossJoin(F.broadcast(bounds))
-        .join(F.broadcast(counts), "Bin", "left")  # at most one row per bin
-        .select(
-            "Bin",
-            (F.col("lo") + F.col("Bin") * width).alias("BinStart"),
-            F.when(F.col("Bin") == bins - 1, F.col("hi"))
-            .otherwise(F.col("lo") + (F.col("Bin") + 1) * width)
-            .alias("BinEnd"),
-            F.coalesce("Records", F.lit(0)).cast("long").alias("Records"),
-        )
+    every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("Bin"))
+    width = (high - low) / bins
+    end = F.when(F.col("Bin") == bins - 1, high).otherwise(low + (F.col("Bin") + 1) * width)
+    return every_bin.join(F.broadcast(counts), "Bin", "left").select(  # at most one row per bin
+        "Bin",
+        (low + F.col("Bin") * width).alias("BinStart"),
+        end.alias("BinEnd"),
+        F.coalesce("Records", F.lit(0)).cast("long").alias("Records"),
     )
 
 
 def min_max_scaled(df: DataFrame, column: str, output: str, decimals: int = 3) -> DataFrame:
     """(x − min) / (max − min); NULL for a constant column."""
-    bounds = df.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
-    scaled = F.try_divide(F.col(column) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    return (
-        df.crossJoin(F.broadcast(bounds))  # one row
-        .withColumn(output, F.round(scaled, decimals))
-        .drop("_lo", "_hi")
-    )
+    bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+    scaled = F.try_divide(F.col(column) - bounds["lo"], bounds["hi"] - bounds["lo"])
+    return df.withColumn(output, F.round(scaled, decimals))
 
 
 def standardised(df: DataFrame, columns: list[str], suffix: str = "Scaled") -> DataFrame:
     """(x − mean) / population deviation per column; a constant column becomes 0."""
     stats = df.agg(
-        *[F.avg(c).alias(f"_mean_{c}") for c in columns],
-        *[F.stddev_pop(c).alias(f"_sd_{c}") for c in columns],
-    )
-    joined = df.crossJoin(F.broadcast(stats))  # one row
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[
-            (
-                (F.col(c) - F.col(f"_mean_{c}"))
-                / F.when(F.col(f"_sd_{c}") == 0, 1.0).otherwise(F.col(f"_sd_{c}"))
-            ).alias(f"{c}{suffix}")
-            for c in columns
-        ],
-    )
+        F.struct(*[f(c).alias(f"{name}_{c}") for c in columns for name, f in (("mean", F.avg), ("sd", F.stddev_pop))])
+    ).scalar()
+
+    def scaled(c: str) -> Column:
+        deviation = F.when(stats[f"sd_{c}"] == 0, 1.0).otherwise(stats[f"sd_{c}"])
+        return ((F.col(c) - stats[f"mean_{c}"]) / deviation).alias(f"{c}{suffix}")
+
+    return df.select("*", *[scaled(c) for c in columns])
 
 
 def iqr_outliers(df: DataFrame, column: str, output: str = "Outlier", factor: float = 1.5) -> DataFrame:

@@ -58,7 +58,7 @@ raw_customers0 AS MATERIALIZED (
             ELSE Industry END AS Industry,
         Country, City, CASE WHEN CustomerID % 29 <> 0 THEN EmployeeCount END AS EmployeeCount,
         CAST(SignupDate AS VARCHAR) AS SignupDate, AcquisitionChannel
-    FROM customers WHERE nation < 20
+    FROM customers
 ), raw_customers AS MATERIALIZED (
     SELECT * EXCLUDE (n) FROM raw_customers0
     UNION ALL SELECT * EXCLUDE (n) FROM raw_customers0 WHERE n % 50 = 0
@@ -425,9 +425,9 @@ STATEMENTS: dict[str, tuple[str, str]] = {
                round(coalesce(MRR, (SELECT median(MRR) FROM base)), 2) AS MRR FROM base""",
     ),
     "clean_orphan_flag": (
-        "raw_customers raw_subscriptions",
+        "customers raw_subscriptions",
         """SELECT SubscriptionID, upper(CustomerID) AS CustomerID,
-               CASE WHEN upper(CustomerID) IN (SELECT upper(CustomerID) FROM raw_customers)
+               CASE WHEN upper(CustomerID) IN (SELECT 'C' || CustomerID FROM customers WHERE nation < 20)
                     THEN 'Matched' ELSE 'Orphan' END AS CustomerMatchStatus
            FROM raw_subscriptions""",
     ),
@@ -438,12 +438,12 @@ STATEMENTS: dict[str, tuple[str, str]] = {
                CAST(SignupDate AS DATE) AS SignupDate) FROM base""",
     ),
     "clean_subscriptions": (
-        "raw_customers raw_subscriptions",
+        "customers raw_subscriptions",
         f""", {_clean("raw_subscriptions", ["SubscriptionID", "PlanName", "BillingTerm", "Status"])}
            SELECT * REPLACE (round(coalesce(Seats, (SELECT median(Seats) FROM base)), 2) AS Seats,
                    round(coalesce(MRR, (SELECT median(MRR) FROM base)), 2) AS MRR,
                    CAST(StartDate AS DATE) AS StartDate, CAST(EndDate AS DATE) AS EndDate),
-               CASE WHEN CustomerID IN (SELECT upper(CustomerID) FROM raw_customers)
+               CASE WHEN CustomerID IN (SELECT 'C' || CustomerID FROM customers WHERE nation < 20)
                     THEN 'Matched' ELSE 'Orphan' END AS CustomerMatchStatus
            FROM base""",
     ),
@@ -727,45 +727,45 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     # SQL reports
     "sql_customer_revenue": (
         "customers subscriptions",
-        """SELECT c.CustomerID, c.CompanyName, c.Industry, round(sum(s.MRR), 2) AS TotalMRR
-           FROM customers c LEFT JOIN subscriptions s ON c.CustomerID = s.CustomerID GROUP BY 1, 2, 3""",
+        """SELECT CustomerID, CompanyName, Industry, round(sum(MRR), 2) AS TotalMRR
+           FROM customers LEFT JOIN subscriptions USING (CustomerID) GROUP BY ALL""",
     ),
     "sql_plan_revenue": (
         "subscriptions",
         """SELECT PlanName, count(*) AS SubscriptionCount, round(sum(MRR), 2) AS TotalMRR,
-               round(avg(MRR), 6) AS AverageMRR FROM subscriptions GROUP BY 1""",
+               round(avg(MRR), 6) AS AverageMRR FROM subscriptions GROUP BY ALL""",
     ),
     "sql_industry_having": (
         "customers subscriptions",
-        """SELECT c.Industry, count(DISTINCT c.CustomerID) AS Customers, round(sum(s.MRR), 2) AS TotalMRR
-           FROM customers c JOIN subscriptions s ON c.CustomerID = s.CustomerID
-           GROUP BY 1 HAVING sum(s.MRR) > 5000""",
+        """SELECT Industry, count(DISTINCT CustomerID) AS Customers, round(sum(MRR), 2) AS TotalMRR
+           FROM customers JOIN subscriptions USING (CustomerID) GROUP BY ALL HAVING sum(MRR) > 5000""",
     ),
     "sql_value_category": (
         "customers subscriptions",
-        """SELECT c.CustomerID, c.CompanyName, round(sum(s.MRR), 2) AS TotalMRR,
-               CASE WHEN sum(s.MRR) >= 3000000 THEN 'High Value' WHEN sum(s.MRR) >= 2000000
-                    THEN 'Medium Value' ELSE 'Low Value' END AS CustomerValue
-           FROM customers c LEFT JOIN subscriptions s ON c.CustomerID = s.CustomerID GROUP BY 1, 2""",
+        """SELECT CustomerID, CompanyName, round(total, 2) AS TotalMRR,
+               CASE WHEN total >= 3000000 THEN 'High Value' WHEN total >= 2000000 THEN 'Medium Value'
+                    ELSE 'Low Value' END AS CustomerValue
+           FROM customers LEFT JOIN (SELECT CustomerID, sum(MRR) AS total FROM subscriptions GROUP BY ALL)
+               USING (CustomerID)""",
     ),
     "sql_above_average": (
         "customers subscriptions",
-        """SELECT c.CustomerID, c.CompanyName, round(sum(s.MRR), 2) AS TotalMRR
-           FROM customers c JOIN subscriptions s ON c.CustomerID = s.CustomerID GROUP BY 1, 2
-           HAVING sum(s.MRR) > (SELECT avg(MRR) FROM subscriptions)""",
+        """SELECT CustomerID, CompanyName, round(sum(MRR), 2) AS TotalMRR
+           FROM customers JOIN subscriptions USING (CustomerID) GROUP BY ALL
+           HAVING sum(MRR) > (SELECT avg(MRR) FROM subscriptions)""",
     ),
     "sql_usage_summary": (
         "customers usage",
-        """SELECT c.CustomerID, c.CompanyName, round(avg(Logins), 6) AS AverageLogins,
+        """SELECT CustomerID, CompanyName, round(avg(Logins), 6) AS AverageLogins,
                round(avg(ActiveUsers), 6) AS AverageActiveUsers,
                round(avg(SessionMinutes), 6) AS AverageSessionMinutes
-           FROM customers c JOIN usage u ON c.CustomerID = u.CustomerID GROUP BY 1, 2""",
+           FROM customers JOIN usage USING (CustomerID) GROUP BY ALL""",
     ),
     "sql_revenue_rank": (
         "customers subscriptions",
-        """SELECT c.CustomerID, c.CompanyName, round(sum(s.MRR), 2) AS TotalMRR,
-               rank() OVER (ORDER BY round(sum(s.MRR), 4) DESC NULLS LAST) AS RevenueRank
-           FROM customers c JOIN subscriptions s ON c.CustomerID = s.CustomerID GROUP BY 1, 2""",
+        """SELECT CustomerID, CompanyName, round(sum(MRR), 2) AS TotalMRR,
+               rank() OVER (ORDER BY round(sum(MRR), 4) DESC NULLS LAST) AS RevenueRank
+           FROM customers JOIN subscriptions USING (CustomerID) GROUP BY ALL""",
     ),
     "sql_orphans": (
         "customers subscriptions",

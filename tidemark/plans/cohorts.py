@@ -60,16 +60,15 @@ def retention_matrix(retention: DataFrame, at_least: int = 0) -> DataFrame:
 
 def retention_curve(customers: DataFrame, activity: DataFrame) -> DataFrame:
     """Active share of all customers per month number, in order."""
-    total = customers.agg(F.count_distinct(KEY).alias("_total"))
+    total = customers.agg(F.count_distinct(KEY)).scalar()
     return (
         monthly_activity(customers, activity)
         .groupBy("MonthNo")
         .agg(F.count_distinct(KEY).alias("ActiveCustomers"))
-        .crossJoin(F.broadcast(total))  # one row
         .select(
             "MonthNo",
             "ActiveCustomers",
-            F.round(F.col("ActiveCustomers") / F.col("_total") * 100, 2).alias("RetentionRate"),
+            F.round(F.col("ActiveCustomers") / total * 100, 2).alias("RetentionRate"),
         )
         .orderBy("MonthNo")
     )

@@ -58,9 +58,8 @@ def revenue_by_customer_dimension(
 def share_of_rows(df: DataFrame, column: str, count_name: str) -> DataFrame:
     """Rows per value and their share of all rows in percent."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias(count_name))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    share = F.col(count_name) / F.col("_total") * 100
-    return counts.crossJoin(F.broadcast(total)).select(column, count_name, share.alias("Share"))  # one row
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.select(column, count_name, (F.col(count_name) / total * 100).alias("Share"))
 
 
 def kpi_table(summary: DataFrame) -> DataFrame:

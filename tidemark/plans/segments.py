@@ -17,6 +17,9 @@ from tidemark.sources.staging import staged
 FEATURES = ["MRR", "Seats", "Logins", "ActiveUsers", "SessionMinutes", "SatisfactionScore"]
 TOLERANCE = 0.005
 
+# The segment names.
+HIGH_VALUE, GROWING, LOW, SUPPORT = "High Value", "Growing Users", "Low Engagement", "Support Heavy"
+
 
 def vectors(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Features, staged in even partitions, with their standardised vector."""
@@ -77,10 +80,10 @@ def names_by_centre(model: KMeansModel, columns: list[str] | None = None) -> dic
     left = list(range(len(centres)))
     names = {}
     for name, pick in (
-        ("High Value", lambda c: centres[c]["MRR"]),
-        ("Support Heavy", lambda c: -centres[c]["SatisfactionScore"]),
-        ("Growing Users", lambda c: centres[c]["Logins"]),
-        ("Low Engagement", lambda c: -centres[c]["Logins"]),
+        (HIGH_VALUE, lambda c: centres[c]["MRR"]),
+        (SUPPORT, lambda c: -centres[c]["SatisfactionScore"]),
+        (GROWING, lambda c: centres[c]["Logins"]),
+        (LOW, lambda c: -centres[c]["Logins"]),
     ):
         if left:
             chosen = max(left, key=pick)

@@ -145,10 +145,16 @@ def clean_impute_median(spark, folder):
     return cleaning.fill_median(raw, ["Seats", "MRR"]).select("SubscriptionID", "Seats", "MRR")
 
 
+def _master(spark, folder):
+    """Customer keys as text, without the customers whose subscriptions are to be orphans."""
+    kept = adapters.restricted_customers(spark, folder)
+    return kept.select(F.concat(F.lit("c"), F.col("CustomerID").cast("string")).alias("CustomerID"))
+
+
 @query("clean_orphan_flag")
 def clean_orphan_flag(spark, folder):
     raw = cleaning.upper_key(adapters.raw_subscriptions(spark, folder))
-    flagged = cleaning.flag_orphans(raw, adapters.raw_customers(spark, folder))
+    flagged = cleaning.flag_orphans(raw, _master(spark, folder))
     return flagged.select("SubscriptionID", "CustomerID", "CustomerMatchStatus")
 
 
@@ -159,8 +165,7 @@ def clean_customers(spark, folder):
 
 @query("clean_subscriptions")
 def clean_subscriptions(spark, folder):
-    customers = cleaning.clean_base(adapters.raw_customers(spark, folder))
-    return cleaning.clean_subscriptions(adapters.raw_subscriptions(spark, folder), customers)
+    return cleaning.clean_subscriptions(adapters.raw_subscriptions(spark, folder), _master(spark, folder))
 
 
 @query("clean_usage")
@@ -430,22 +435,18 @@ def run_summary(spark, folder):
     # Every count reads these tables, so they are derived once.
     tables = {name: staged(df, name) for name, df in adapters.business_tables(spark, folder).items()}
     children = (tables["subscriptions"], tables["usage"], tables["tickets"])
-    parts = [
-        *[df.agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name, df in tables.items()],
-        risk.customer_flags(*children[:2]).agg(
-            F.count(F.when(F.col("HighValue") == "Yes", 1)).alias("high_value"),
-            F.count(F.when(F.col("AtRisk") == "Yes", 1)).alias("at_risk"),
-        ),
-        risk.risk_scores(tables["customers"], *children).agg(
-            F.count(F.when(F.col("RiskLevel") == "Critical", 1)).alias("critical")
-        ),
-        features.segment_features(*children).agg(F.count(F.lit(1)).alias("segmented")),
-        cohorts.cohorts(tables["customers"]).agg(F.count_distinct("Cohort").alias("cohorts")),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.crossJoin(F.broadcast(part))  # one row each
-    return result
+    flags = risk.customer_flags(*children[:2])
+    scores = risk.risk_scores(tables["customers"], *children)
+    counts = {f"{name}_rows": df for name, df in tables.items()} | {
+        "high_value": flags.filter("HighValue = 'Yes'"),
+        "at_risk": flags.filter("AtRisk = 'Yes'"),
+        "critical": scores.filter("RiskLevel = 'Critical'"),
+        "segmented": features.segment_features(*children),
+        "cohorts": cohorts.cohorts(tables["customers"]).filter("Cohort IS NOT NULL").select("Cohort").distinct(),
+    }
+    return spark.range(1).select(
+        *[df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in counts.items()]
+    )
 
 
 # --- segments ---------------------------------------------------------------------------------

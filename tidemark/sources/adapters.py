@@ -140,9 +140,8 @@ def _with_copies(df: DataFrame, number: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    base = restricted_customers(spark, folder)
     n = F.col("CustomerID")
-    raw = base.select(
+    raw = customers(spark, folder).select(
         n.alias("_n"),
         _raw_key("CustomerID").alias("CustomerID"),
         F.when(n % 3 == 0, F.concat(F.lit("  \t"), "CompanyName", F.lit(" "))).otherwise(F.col("CompanyName")).alias("CompanyName"),
