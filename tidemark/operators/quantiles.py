@@ -13,6 +13,8 @@ another way, in scans that shuffle only the few values near the answer:
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,19 +85,19 @@ def _by_brackets(
         return {c: [None] * len(ps) for c, ps in wanted.items()}
     _prove_brackets(numbers, targets, sketch)
 
-    inside = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(t["column"]).between(t["low"], t["high"]),
-                    F.struct(F.lit(b).alias("bracket"), F.col(t["column"]).alias("value")),
-                )
-                for b, t in enumerate(targets)
-            ]
-        )
+    inside = [F.col(t["column"]).between(t["low"], t["high"]) for t in targets]
+    hits = F.array(
+        *[
+            F.when(hit, F.struct(F.lit(b).alias("bracket"), F.col(t["column"]).alias("value")))
+            for b, (t, hit) in enumerate(zip(targets, inside))
+        ]
     )
-    histogram = numbers.select(F.explode(inside).alias("v")).groupBy("v.bracket", "v.value").agg(
-        F.count(F.lit(1)).alias("n")
+    histogram = (
+        numbers.filter(reduce(or_, inside))  # few rows are left to expand
+        .select(F.explode(hits).alias("v"))
+        .filter("v IS NOT NULL")
+        .groupBy("v.bracket", "v.value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     ordered = range_parts(histogram, F.col("bracket"), F.col("value"), partitions=partitions)
     values = _values_at(ordered, targets)
@@ -144,9 +146,7 @@ def _values_at(ordered: DataFrame, targets: list[dict]) -> dict[tuple[int, int],
             if passed[b] < rank <= passed[b] + size["n"]:
                 lookups.append((b, rank, size[PART], rank - passed[b]))
         passed[b] += size["n"]
-    wanted_parts = F.lit(False)
-    for b, _, part, _ in lookups:
-        wanted_parts = wanted_parts | ((F.col("bracket") == b) & (F.col(PART) == part))
+    wanted_parts = reduce(or_, [(F.col("bracket") == b) & (F.col(PART) == part) for b, _, part, _ in lookups])
     running = F.sum("n").over(
         Window.partitionBy("bracket", PART).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
