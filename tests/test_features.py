@@ -99,3 +99,16 @@ def test_segment_features_keep_orphans_and_fill_zero(tables, by_key):
     assert set(found) == {"C1", "C9"}
     assert found["C9"]["ActiveUsers"] == 0.0 and found["C9"]["SatisfactionScore"] == 0.0
     assert found["C1"]["MRR"] == 150.0 and found["C1"]["Seats"] == 5.0
+
+
+def test_facts_can_stand_in_for_the_tables(tables, rows):
+    customers, *children = tables
+    facts = features.staged_facts(*children)
+    day = date(2024, 1, 1)
+    for made, from_facts in (
+        (features.customer_360(*tables, day), features.customer_360(customers, *facts, day)),
+        (features.customer_360_latest(*tables), features.customer_360_latest(customers, *facts)),
+        (features.customer_summary(*tables[:2]), features.customer_summary(customers, facts[0])),
+        (features.segment_features(*children), features.segment_features(*facts)),
+    ):
+        assert rows(made, "CustomerID") == rows(from_facts, "CustomerID")

@@ -85,3 +85,10 @@ def test_rank_of_many_rows_has_no_global_window(spark):
     text = plan(sql_queries.revenue_rank(spark, tables, small_rows=0))
     assert "SinglePartition" not in text
     assert re.search(r"Window \[rank\(.*\[_part#", text)
+
+
+def test_only_the_facts_in_use_are_computed(spark):
+    text = plan(features.revenue_by_customer(adapters.subscriptions(spark, FOLDER)))
+    assert "max_by" not in text and "SortAggregate" not in text
+    means = plan(features.usage_means(adapters.usage(spark, FOLDER), ["Logins"]))
+    assert "value#" not in means[means.rindex("HashAggregate") :].split("FileScan")[0]

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_start
 from tidemark.functions.student_t import two_sided_p
-from tidemark.operators.features import KEY, revenue_by_customer, usage_means
-from tidemark.operators.latest import latest_rows
+from tidemark.operators.features import KEY, revenue_by_customer, subscription_facts, usage_means
 from tidemark.sources.staging import staged
 
 CHURNED = "Churned"
@@ -101,6 +100,6 @@ def churn_welch_t_test(subscriptions: DataFrame, usage: DataFrame) -> DataFrame:
 
     A customer without a status counts as retained.
     """
-    status = latest_rows(subscriptions, KEY, "StartDate", "SubscriptionID", ["Status"])
+    status = subscription_facts(subscriptions).select(KEY, F.col("NewestStatus").alias("Status"))
     data = status.join(usage_means(usage, ["Logins"]), KEY)
     return welch_t_test(data, "Logins", F.col("Status").eqNullSafe(F.lit(CHURNED)))

@@ -21,13 +21,14 @@ def write_workbook(spark: SparkSession, tables: Tables, folder: str) -> dict[str
     """
     paths = write_reports(tables, folder)
     customers, subscriptions = (spark.read.parquet(paths[name]) for name in ("customers", "subscriptions"))
-    paths |= write_reports({"customer_summary": features.customer_summary(customers, subscriptions)}, folder)
+    facts = staged(features.subscription_facts(subscriptions), "facts")
+    paths |= write_reports({"customer_summary": features.customer_summary(customers, facts)}, folder)
     by_dimension = revenue.revenue_by_customer_dimension
     return paths | write_reports(
         {
             "revenue_by_plan": revenue.revenue_by_plan(subscriptions),
-            "revenue_by_industry": by_dimension(customers, subscriptions, "Industry"),
-            "revenue_by_channel": by_dimension(customers, subscriptions, "AcquisitionChannel"),
+            "revenue_by_industry": by_dimension(customers, facts, "Industry"),
+            "revenue_by_channel": by_dimension(customers, facts, "AcquisitionChannel"),
             "kpi": revenue.kpi_table(spark.read.parquet(paths["customer_summary"])),
         },
         folder,
@@ -35,17 +36,17 @@ def write_workbook(spark: SparkSession, tables: Tables, folder: str) -> dict[str
 
 
 def analysis_reports(tables: Tables, as_of: date | None = None) -> Tables:
-    """Every analysis by name. Views that several reports read are staged once.
+    """Every analysis by name. Facts and views that several reports read are staged once.
 
-    ``tables`` are read many times: pass stored or staged tables.
+    ``tables`` are read several times: pass stored or staged tables.
     """
-    customers, subscriptions = tables["customers"], tables["subscriptions"]
-    usage, tickets = tables["usage"], tables["tickets"]
-    view = staged(features.customer_360(customers, subscriptions, usage, tickets, as_of), "view")
-    latest = staged(features.customer_360_latest(customers, subscriptions, usage, tickets), "latest")
+    customers, subscriptions, usage = tables["customers"], tables["subscriptions"], tables["usage"]
+    facts = features.staged_facts(subscriptions, usage, tables["tickets"])
+    view = staged(features.customer_360(customers, *facts, as_of), "view")
+    latest = staged(features.customer_360_latest(customers, *facts), "latest")
     retention = staged(cohorts.cohort_retention(customers, usage), "retention")
-    scores = staged(risk.risk_scores(customers, subscriptions, usage, tickets), "scores")
-    segmented = staged(segments.segments(features.segment_features(subscriptions, usage, tickets)), "segments")
+    scores = staged(risk.risk_scores(customers, *facts), "scores")
+    segmented = staged(segments.segments(features.segment_features(*facts)), "segments")
     metrics = [
         (subscriptions, ["MRR", "Seats"]),
         (usage, ["Logins", "ActiveUsers", "APICalls", "SessionMinutes"]),
@@ -53,13 +54,13 @@ def analysis_reports(tables: Tables, as_of: date | None = None) -> Tables:
     return {
         "metric_statistics": summaries.metric_stats(metrics),
         "metric_description": summaries.describe(metrics),
-        "customer_flags": risk.customer_flags(subscriptions, usage),
+        "customer_flags": risk.customer_flags(*facts[:2]),
         "customer_view": summaries.iqr_outliers(view, "TotalMRR"),
         "industry_summary": revenue.industry_summary(view),
         "industry_plan_revenue": revenue.pivot_industry_plan(view),
         "correlation": summaries.correlation_matrix(view, ["TotalMRR", "Seats", "Logins", "SessionMinutes"]),
-        "sample_comparison": churn.sample_check(subscriptions),
-        "churn_hypothesis": churn.churn_welch_t_test(subscriptions, usage),
+        "sample_comparison": churn.sample_check(facts[0]),
+        "churn_hypothesis": churn.churn_welch_t_test(*facts[:2]),
         "cohort_retention": retention,
         "retention_matrix": cohorts.retention_matrix(retention),
         "retention_curve": cohorts.retention_curve(customers, usage),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.features import KEY
+from tidemark.operators.features import KEY, subscription_facts
 from tidemark.operators.summaries import stack_rows
 
 
@@ -42,15 +42,16 @@ def revenue_by_customer_dimension(
 
     Subscriptions are summed per customer first: the join then has one row per customer.
     """
-    per_customer = subscriptions.groupBy(KEY).agg(F.count("MRR").alias("n"), F.sum("MRR").alias("revenue"))
+    per_customer = subscription_facts(subscriptions).select(KEY, "PricedSubscriptions", "TotalMRR")
+    count, total = F.sum("PricedSubscriptions"), F.sum("TotalMRR")
     return (
         per_customer.join(customers.select(KEY, dimension), KEY)
         .filter(F.col(dimension).isNotNull())
         .groupBy(dimension)
         .agg(
-            F.sum("n").alias("SubscriptionCount"),
-            F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("TotalMRR"),
-            F.try_divide(F.sum("revenue"), F.sum("n")).alias("AverageMRR"),
+            count.alias("SubscriptionCount"),
+            total.alias("TotalMRR"),
+            F.try_divide(total, count).alias("AverageMRR"),
         )
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.features import KEY, revenue_by_customer, usage_means
+from tidemark.operators.features import KEY, revenue_by_customer, ticket_facts, usage_means
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.sources.staging import staged
 
@@ -66,9 +66,7 @@ def risk_features(
     customers: DataFrame, subscriptions: DataFrame, usage: DataFrame, tickets: DataFrame
 ) -> DataFrame:
     """Customers that have subscriptions, usage and tickets."""
-    support = tickets.groupBy(KEY).agg(
-        F.count("TicketID").alias("TicketCount"), F.avg("SatisfactionScore").alias("Satisfaction")
-    )
+    support = ticket_facts(tickets).select(KEY, "TicketCount", F.col("MeanSatisfaction").alias("Satisfaction"))
     return (
         customers.select(KEY, "CompanyName")
         .join(revenue_by_customer(subscriptions), KEY)

@@ -23,9 +23,7 @@ from tidemark.sources.staging import new_folder, staged
 Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
-MONEY = {
-    "TotalMRR", "Revenue", "LatestMRR", "MRR", "AverageSpend", "TotalSeats", "Seats",
-}
+MONEY = {"TotalMRR", "Revenue", "LatestMRR", "MRR", "Seats"}
 HAIR = 1e-9
 AS_OF = date(2002, 1, 1)
 PLANS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -435,17 +433,17 @@ def kpi_slices(spark, folder):
 @query("run_summary")
 def run_summary(spark, folder):
     """Counts that a full run reports, as one row."""
-    # Every count reads these tables, so they are derived once.
-    tables = {name: staged(df, name) for name, df in adapters.business_tables(spark, folder).items()}
-    children = (tables["subscriptions"], tables["usage"], tables["tickets"])
-    flags = risk.customer_flags(*children[:2])
-    scores = risk.risk_scores(tables["customers"], *children)
+    tables = adapters.business_tables(spark, folder)
+    customers = tables["customers"]
+    facts = features.staged_facts(tables["subscriptions"], tables["usage"], tables["tickets"])
+    flags = risk.customer_flags(*facts[:2])
+    scores = risk.risk_scores(customers, *facts)
     counts = {f"{name}_rows": df for name, df in tables.items()} | {
         "high_value": flags.filter("HighValue = 'Yes'"),
         "at_risk": flags.filter("AtRisk = 'Yes'"),
         "critical": scores.filter("RiskLevel = 'Critical'"),
-        "segmented": features.segment_features(*children),
-        "cohorts": cohorts.cohorts(tables["customers"]).filter("Cohort IS NOT NULL").select("Cohort").distinct(),
+        "segmented": features.segment_features(*facts),
+        "cohorts": cohorts.cohorts(customers).filter("Cohort IS NOT NULL").select("Cohort").distinct(),
     }
     return spark.range(1).select(
         *[df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in counts.items()]
