@@ -21,7 +21,8 @@ def write_workbook(spark: SparkSession, tables: Tables, folder: str) -> dict[str
     """
     paths = write_reports(tables, folder)
     customers, subscriptions = (spark.read.parquet(paths[name]) for name in ("customers", "subscriptions"))
-    facts = staged(features.subscription_facts(subscriptions), "facts")
+    used = [features.KEY, "TotalMRR", "PricedSubscriptions", "NewestStatus", "LastStart", "LastEnd"]
+    facts = staged(features.subscription_facts(subscriptions).select(used), "facts")
     paths |= write_reports({"customer_summary": features.customer_summary(customers, facts)}, folder)
     by_dimension = revenue.revenue_by_customer_dimension
     return paths | write_reports(

@@ -435,7 +435,12 @@ def run_summary(spark, folder):
     """Counts that a full run reports, as one row."""
     tables = adapters.business_tables(spark, folder)
     customers = tables["customers"]
-    facts = features.staged_facts(tables["subscriptions"], tables["usage"], tables["tickets"])
+    revenue_facts = features.subscription_facts(tables["subscriptions"])
+    facts = [
+        staged(revenue_facts.select("CustomerID", "TotalMRR", "TotalSeats"), "subscription-facts"),
+        staged(features.usage_facts(tables["usage"]), "usage-facts"),
+        staged(features.ticket_facts(tables["tickets"]), "ticket-facts"),
+    ]
     flags = risk.customer_flags(*facts[:2])
     scores = risk.risk_scores(customers, *facts)
     counts = {f"{name}_rows": df for name, df in tables.items()} | {
