@@ -97,11 +97,24 @@ def test_median_of_a_column_without_values_stays_missing(spark):
     assert [r["x"] for r in cleaning.fill_median(df, ["x"]).collect()] == [None, None]
 
 
-def test_hot_key_is_flagged_whole(spark):
+@pytest.mark.parametrize("broadcast_keys", [cleaning.BROADCAST_KEYS, 0])
+def test_hot_key_is_flagged_whole(spark, broadcast_keys):
     """One customer holds a third of the rows and is an orphan."""
     child = spark.range(9000).select(
+        "id",
         F.when(F.col("id") % 3 == 0, "X").otherwise(F.concat(F.lit("C"), F.col("id") % 50)).alias("CustomerID")
     )
     master = spark.range(50).select(F.concat(F.lit("c"), "id").alias("CustomerID"))
-    counts = cleaning.flag_orphans(child, master).groupBy("CustomerMatchStatus").count().collect()
+    flagged = cleaning.flag_orphans(child, master, broadcast_keys=broadcast_keys)
+    assert flagged.columns == ["id", "CustomerID", "CustomerMatchStatus"]
+    counts = flagged.groupBy("CustomerMatchStatus").count().collect()
     assert {r["CustomerMatchStatus"]: r["count"] for r in counts} == {"Matched": 6000, "Orphan": 3000}
+
+
+def test_salts_spread_a_hot_key(spark):
+    orphans = spark.createDataFrame([("X",), (None,)], "CustomerID string")
+    rows = spark.range(6400).select("id", F.when(F.col("id") % 3 > 0, "X").alias("CustomerID"))
+    met = cleaning.meet_orphans(rows, orphans, "CustomerID", "left_semi", broadcast_keys=0)
+    assert met.count() == 6400 and met.columns == ["id", "CustomerID"]
+    salts = rows.groupBy(F.pmod(F.xxhash64(*rows.columns), F.lit(cleaning.SALTS)).alias("s")).count().collect()
+    assert len(salts) == cleaning.SALTS and max(r["count"] for r in salts) < 6400 / cleaning.SALTS * 1.5

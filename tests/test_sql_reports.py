@@ -53,5 +53,7 @@ def test_rank_ties_whatever_the_order_of_the_terms(spark, table, by_key, small_r
     assert {k: v["RevenueRank"] for k, v in by_key(ranked).items()} == {"D": 1, "A": 2, "B": 2, "C": 2}
 
 
-def test_orphans_include_missing_keys(tables):
-    assert sorted(r["SubscriptionID"] for r in sql_queries.orphans(tables).collect()) == ["S4", "S5"]
+@pytest.mark.parametrize("broadcast_keys", [100, 0])
+def test_orphans_include_missing_keys(tables, broadcast_keys):
+    found = sql_queries.orphans(tables, broadcast_keys=broadcast_keys).collect()
+    assert sorted(r["SubscriptionID"] for r in found) == ["S4", "S5"]

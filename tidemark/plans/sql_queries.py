@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import orphan_keys
+from tidemark.operators.cleaning import meet_orphans, orphan_keys
 from tidemark.operators.ordering import rank_descending
 from tidemark.sources.views import register_views
 
@@ -122,8 +122,8 @@ def revenue_rank(spark: SparkSession, tables: dict[str, DataFrame], **rank_optio
     return rank_descending(totals, "_total", "CustomerID", "RevenueRank", **rank_options).drop("_total")
 
 
-def orphans(tables: dict[str, DataFrame]) -> DataFrame:
+def orphans(tables: dict[str, DataFrame], **join_options) -> DataFrame:
     """Subscriptions whose customer is not in the master."""
     subscriptions = tables["subscriptions"].select("SubscriptionID", "CustomerID", "PlanName", "MRR")
-    missing = orphan_keys(subscriptions, tables["customers"]).withColumnRenamed("CustomerID", "_orphan")
-    return subscriptions.join(missing, subscriptions["CustomerID"].eqNullSafe(missing["_orphan"]), "left_semi")
+    missing = orphan_keys(subscriptions, tables["customers"])
+    return meet_orphans(subscriptions, missing, "CustomerID", "left_semi", **join_options)
