@@ -120,8 +120,10 @@ def histogram(df: DataFrame, column: str, bins: int = 25) -> DataFrame:
     widen = F.when(F.min("x") == F.max("x"), 0.5).otherwise(0.0)
     bounds = values.agg(F.struct((F.min("x") - widen).alias("lo"), (F.max("x") + widen).alias("hi"))).scalar()
     low, high = bounds["lo"], bounds["hi"]
+    # A computed value may differ in its last bit from the pass that found the bounds: keep it inside.
     place = F.floor((F.col("x") - low) / (high - low) * bins)
-    counts = values.groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("Bin")).agg(
+    inside = F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1))
+    counts = values.groupBy(inside.cast("int").alias("Bin")).agg(
         F.count(F.lit(1)).alias("Records")
     )
     every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("Bin"))
