@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.oracle import oracle_sql
+from tidemark.queries import REGISTRY
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -32,14 +34,14 @@ def _sorted(records, columns):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NOT_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(REGISTRY) - set(oracle_sql()) == NOT_SQL
+    assert set(oracle_sql()) <= set(REGISTRY) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
-    cursor = duck.execute(entry.oracle_sql()[name])
+    df = REGISTRY[name](spark, FOLDER)
+    cursor = duck.execute(oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     expected = [dict(zip(columns, row)) for row in cursor.fetchall()]
@@ -49,7 +51,7 @@ def test_query_matches_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(NOT_SQL))
 def test_clusters(spark, name):
-    found = entry.queries()[name](spark, FOLDER).collect()
+    found = REGISTRY[name](spark, FOLDER).collect()
     assert found
     if name == "segments":
         assert {r["Segment"] for r in found} <= {"High Value", "Support Heavy", "Growing Users", "Low Engagement"}
