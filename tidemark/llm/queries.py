@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
 from tidemark.llm.quality import op9_quality_rules
+from tidemark.llm.simhash import op4_simhash
+from tidemark.llm.tables import ship
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
-REGISTRY = {
-    "op9_quality_rules": op9_quality_rules,
+REGISTRY: dict[str, Query] = {
+    "op4_simhash": _shipped(op4_simhash),
+    "op9_quality_rules": _shipped(op9_quality_rules),
 }
 
 ORACLE: dict[str, str] = {}
