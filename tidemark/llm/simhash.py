@@ -114,7 +114,7 @@ def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
     centred = (bits - bits.mean(0)) / np.where(spread > 0, spread, 1)
     related = np.abs(centred.T @ centred / max(len(sample), 1))
     choices = []
-    for m in range(1, distance + 2):
+    for m in range(min(2, distance + 1), distance + 2):
         parts, cost = group_bits(related, m), []
         for part in parts:
             key, seen = _keys(sample, part), np.zeros(distance + 1)
@@ -127,8 +127,8 @@ def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
             for limit in range(distance + 1):
                 ball = sum(comb(len(part), i) for i in range(limit + 1))
                 share = max(seen[: limit + 1].sum() / pairs, ball / 2.0 ** len(part))
-                # A row that is filed or probes costs about as much as 200 comparisons.
-                options[limit] = n * (200.0 * (1 + (ball if limit else 0)) + n * share)
+                # A row that is filed or probes costs about as much as 2000 comparisons.
+                options[limit] = n * (2000.0 * (1 + (ball if limit else 0)) + n * share)
             cost.append(options)
         price, limits = allocate(cost, distance - m + 1)
         choices.append((price, m, Plan(tuple(parts), limits)))
