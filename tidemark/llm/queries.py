@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.chat import op7_chat_formatting
+from tidemark.llm.decontamination import ORACLE_SQL as DECONTAMINATION_SQL
+from tidemark.llm.decontamination import op10_decontamination
+from tidemark.llm.language import op3_language_id
+from tidemark.llm.pieces import op8_sentencepiece
 from tidemark.llm.quality import op9_quality_rules
 from tidemark.llm.simhash import op4_simhash
 from tidemark.llm.tables import ship
+from tidemark.llm.warc import ORACLE_SQL as WARC_SQL
+from tidemark.llm.warc import op6_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +29,13 @@ def _shipped(query: Query) -> Query:
 
 
 REGISTRY: dict[str, Query] = {
+    "op3_language_id": _shipped(op3_language_id),
     "op4_simhash": _shipped(op4_simhash),
+    "op6_warc": _shipped(op6_warc),
+    "op7_chat_formatting": _shipped(op7_chat_formatting),
+    "op8_sentencepiece": _shipped(op8_sentencepiece),
     "op9_quality_rules": _shipped(op9_quality_rules),
+    "op10_decontamination": _shipped(op10_decontamination),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_decontamination": DECONTAMINATION_SQL, "op6_warc": WARC_SQL}

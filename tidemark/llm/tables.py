@@ -89,6 +89,9 @@ class Staging:
         self._made.append(path)
         return path
 
+    def keep(self, path: str) -> None:
+        self._kept.add(path)
+
     def put(self, df: DataFrame, name: str, keep: bool = False, codec: str = "zstd") -> DataFrame:
         path = f"{self.base}/{name}"
         df.write.option("compression", codec).parquet(path)
