@@ -88,15 +88,33 @@ def words(column: pa.Array, lower: bool = False) -> Words:
 
 
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` values (64-bit codes); shorter input has none."""
+    """Hash of each run of ``width`` values (64-bit codes), by doubling; shorter input has none."""
     if len(values) < width:
         return np.zeros(0, np.uint64)
+    base = 0xD6E8FEB86659FD93
+    out, have = values, 1
     with np.errstate(over="ignore"):
-        total = np.zeros(len(values) - width + 1, dtype=np.uint64)
-        weight = powers(width, np.uint64(0xD6E8FEB86659FD93))
-        for i in range(width):
-            total += values[i : i + len(total)] * weight[i]
-    return mix(total)
+        for bit in bin(width)[3:]:
+            weight = np.uint64(pow(base, have, 1 << 64))
+            out, have = out[: len(out) - have] * weight + out[have:], 2 * have
+            if bit == "1":
+                out, have = out[:-1] * np.uint64(base) + values[have : have + len(out) - 1], have + 1
+    return mix(out)
+
+
+class Segments:
+    """Hashes of any stretches of a sequence of 64-bit codes, from one pass over it."""
+
+    def __init__(self, values: np.ndarray):
+        base = 0xC2B2AE3D27D4EB4F
+        with np.errstate(over="ignore"):
+            self.total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers(len(values), np.uint64(base)))))
+            self.back = powers(len(values) + 1, np.uint64(pow(base, -1, 1 << 64)))
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            found = (self.total[end] - self.total[start]) * self.back[start]
+        return mix(found ^ mix((end - start).astype(np.uint64)))
 
 
 def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:

@@ -13,6 +13,7 @@ from tidemark.llm.language import op3_language_id
 from tidemark.llm.pieces import op8_sentencepiece
 from tidemark.llm.quality import op9_quality_rules
 from tidemark.llm.simhash import op4_simhash
+from tidemark.llm.suffixes import op5_suffix_array
 from tidemark.llm.tables import ship
 from tidemark.llm.warc import ORACLE_SQL as WARC_SQL
 from tidemark.llm.warc import op6_warc
@@ -31,6 +32,7 @@ def _shipped(query: Query) -> Query:
 REGISTRY: dict[str, Query] = {
     "op3_language_id": _shipped(op3_language_id),
     "op4_simhash": _shipped(op4_simhash),
+    "op5_suffix_array": _shipped(op5_suffix_array),
     "op6_warc": _shipped(op6_warc),
     "op7_chat_formatting": _shipped(op7_chat_formatting),
     "op8_sentencepiece": _shipped(op8_sentencepiece),

@@ -6,6 +6,7 @@ columns that an operator adds.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -100,6 +101,10 @@ class Staging:
         self._made.append(path)
         if keep:
             self._kept.add(path)
+        # The table takes the place of the shuffle files behind it; Spark drops those once the driver's JVM has
+        # noticed that nothing refers to them.
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self, name: str) -> None:
