@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.chat import op7_chat_formatting
 from tidemark.llm.decontamination import ORACLE_SQL as DECONTAMINATION_SQL
 from tidemark.llm.decontamination import op10_decontamination
+from tidemark.llm.fmindex import op2_fm_index
 from tidemark.llm.language import op3_language_id
 from tidemark.llm.pieces import op8_sentencepiece
 from tidemark.llm.quality import op9_quality_rules
@@ -30,6 +31,7 @@ def _shipped(query: Query) -> Query:
 
 
 REGISTRY: dict[str, Query] = {
+    "op2_fm_index": _shipped(op2_fm_index),
     "op3_language_id": _shipped(op3_language_id),
     "op4_simhash": _shipped(op4_simhash),
     "op5_suffix_array": _shipped(op5_suffix_array),
