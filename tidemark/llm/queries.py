@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.brown import op1_brown_scores
 from tidemark.llm.chat import op7_chat_formatting
 from tidemark.llm.decontamination import ORACLE_SQL as DECONTAMINATION_SQL
 from tidemark.llm.decontamination import op10_decontamination
@@ -31,6 +32,7 @@ def _shipped(query: Query) -> Query:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_brown_scores": _shipped(op1_brown_scores),
     "op2_fm_index": _shipped(op2_fm_index),
     "op3_language_id": _shipped(op3_language_id),
     "op4_simhash": _shipped(op4_simhash),
