@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import tables
+from tidemark.llm import decontamination, language, pieces, simhash, suffixes, tables
 
 #: (name, function of (spark, docs, folder of the tables)); each gets what the one before kept.
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", language.stage),
+    ("SimHash near-dedup", simhash.stage),
+    ("suffix-array dedup", suffixes.stage),
+    ("benchmark decontamination", decontamination.stage),
+    ("SentencePiece encoding", pieces.stage),
+]
 
 #: Language prediction, suffix sorting and piece encoding have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
@@ -18,6 +24,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.table(spark, sf_dir, "documents")
     with tables.Staging(spark, "pipeline") as staging:
-        for i, (name, stage) in enumerate(STAGES):
-            docs = staging.put(stage(spark, docs, sf_dir), f"{i}-{name}", keep=i == len(STAGES) - 1)
+        for i, (_, stage) in enumerate(STAGES):
+            docs = staging.put(stage(spark, docs, sf_dir), f"stage{i}", keep=i == len(STAGES) - 1)
     return docs

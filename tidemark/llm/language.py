@@ -308,8 +308,6 @@ def op3_language_id(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str, floor: float = 0.5) -> DataFrame:
     """Pipeline stage: documents go if they have no letters or no language holds ``floor`` of their letters.
-
-    Their rows, all columns included, pass through the labelling as they are.
     """
     tables.ship(spark)
     model = fit(labelled_rows(docs).filter(in_training(F.col("doc_id"))))

@@ -20,7 +20,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import tables
@@ -54,14 +54,16 @@ def fingerprint(text: bytes | None, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id`` and ``code`` (the fingerprint as a signed long) of every row."""
+    """``doc_id``, ``mark`` (a hash of the text) and ``code`` (the fingerprint as a signed long) of every row."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         codes = [fingerprint(x, width) for x in batch.column("text").to_pylist()]
         signed = pa.array(np.array(codes, dtype=np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), signed], names=["doc_id", "code"])
+        columns = [batch.column("doc_id"), batch.column("mark"), signed]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "code"])
 
-    return tables.map_slices(tables.text_rows(docs), make, "doc_id long, code long")
+    rows = tables.text_rows(docs).withColumn("mark", F.xxhash64("text"))
+    return tables.map_slices(rows, make, "doc_id long, mark long, code long")
 
 
 @dataclass(frozen=True)
@@ -276,8 +278,9 @@ def links(distinct: DataFrame, plan: Plan, distance: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row of ``docs``."""
+def grouped(docs: DataFrame, width: int, distance: int) -> DataFrame:
+    """``doc_id``, ``mark``, ``code`` and ``root`` (a fingerprint that names the component) of every row, and the
+    component's smallest id as ``component_id``."""
     with tables.Staging(docs.sparkSession, "simhash") as staging:
         coded = staging.put(fingerprints(docs, width), "codes", keep=True)
         distinct = staging.put(coded.groupBy("code").agg(F.min("doc_id").alias("smallest")), "distinct", keep=True)
@@ -291,10 +294,30 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataF
         "code", "smallest", F.coalesce("root", "code").alias("root")
     )
     smallest = of.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = of.join(smallest, "root").select("code", "component_id")
+    return coded.join(of.join(smallest, "root").select("code", "root", "component_id"), "code")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row of ``docs``."""
     digits = F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint")
-    return coded.join(named, "code").select("doc_id", digits, "component_id")
+    return grouped(docs, width, distance).select("doc_id", digits, "component_id")
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(tables.table(spark, sf_dir, "documents"), width=3, distance=3)
+
+
+
+def stage(spark, docs: DataFrame, sf_dir: str, width: int = 3, distance: int = 3) -> DataFrame:
+    """Pipeline stage: one row of each component stays, that with the smallest id (no id: the last); of rows with one
+    id the one whose text has the smallest hash, of rows that are equal in both the first by their other columns."""
+    tables.ship(spark)
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    last = F.lit((1 << 63) - 1)
+    leaders = grouped(docs, width, distance).groupBy("root").agg(
+        F.min(F.struct(F.coalesce("doc_id", last).alias("id"), "mark")).alias("leader")
+    )
+    keyed = docs.withColumns({"_id": F.coalesce("doc_id", last), "_mark": F.xxhash64("text")})
+    kept = keyed.join(leaders.select("leader.*").toDF("_id", "_mark"), ["_id", "_mark"], "left_semi")
+    order = Window.partitionBy("_id", "_mark").orderBy("lang", "source", "n_chars")
+    return kept.withColumn("_turn", F.row_number().over(order)).filter("_turn = 1").drop("_id", "_mark", "_turn")

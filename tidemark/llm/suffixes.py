@@ -289,3 +289,40 @@ def remove_repeats(docs: DataFrame, size: int = 100, gram: int = 24, with_text:
 
 def op5_suffix_array(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(tables.table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
+def stage(spark, docs: DataFrame, sf_dir: str, size: int = 100) -> DataFrame:
+    """Pipeline stage: texts without their repeated byte strings. A character that loses some of its bytes goes whole;
+    a document of which nothing but white space remains goes, unless nothing was taken from it. ``n_chars`` is counted
+    anew where something was taken; other columns stay as they are, null texts null."""
+    tables.ship(spark)
+    last = F.lit((1 << 63) - 1)
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    kind = Kind(words=False, size=size, gram=24, within=True)
+    with tables.Staging(spark, "suffixes") as staging:
+        spans = covered(keyed(docs), kind, staging, _cut(kind), CUT, _resolve(kind))
+    keys = docs.withColumns({"doc": F.coalesce("doc_id", last), "mark": F.xxhash64(F.col("text").cast("binary"))})
+
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "text", "lang", "source", "n_chars"]
+        for batch in tables.slices(batches):
+            rows = batch.select([*names, "spans"]).to_pylist()
+            out = []
+            for row in rows:
+                gone = merged(row.pop("spans"))
+                if gone:
+                    data = row["text"]
+                    edges = [0, *(x for span in gone for x in span), len(data)]
+                    kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])).decode(errors="ignore")
+                    if not kept.strip():
+                        continue
+                    row["text"], row["n_chars"] = kept.encode(), len(kept)
+                out.append(tuple(row.values()))
+            kinds = [batch.schema.field(c).type for c in names]
+            columns = list(zip(*out)) if out else [()] * len(names)
+            made = [pa.array(c, k).cast(pa.string()) if n == "text" else pa.array(c, k) for c, k, n in zip(columns, kinds, names)]
+            yield pa.RecordBatch.from_arrays(made, names=names)
+
+    joined = keys.join(spans, ["doc", "mark"], "left")
+    joined = joined.select("doc_id", F.col("text").cast("binary").alias("text"), "lang", "source", "n_chars", "spans")
+    return joined.mapInArrow(strip, docs.schema)
