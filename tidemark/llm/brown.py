@@ -188,7 +188,8 @@ def best_class(
     own_cell = counts[at, at]
     gain = row.sum(1) - row[at, at] + column.sum(0) - column[at, at]
     gain += _xlogx(own_cell + after[:classes] + before[:classes] + own) - _xlogx(own_cell)
-    rows, columns = counts[:classes].sum(1), counts[:, :classes].sum(0)
+    # The word's neighbours keep their tokens wherever it goes.
+    rows, columns = counts[:classes].sum(1) + before[:classes], counts[:, :classes].sum(0) + after[:classes]
     gain -= _xlogx(rows + after.sum() + own) - _xlogx(rows) + _xlogx(columns + before.sum() + own) - _xlogx(columns)
     new = int(gain.argmax())
     if gain[new] <= gain[old] + 1e-9 * abs(gain[old]):
