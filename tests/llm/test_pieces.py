@@ -99,6 +99,14 @@ def test_long_text_is_made_of_its_segments(voc):
     assert flat.tolist() == whole.tolist()
 
 
+def test_long_segments_take_the_same_path(voc):
+    rng = random.Random(2)
+    for text in ["".join(rng.choices("therinags漢é", k=n)).encode() for n in (1, 30, 900)]:
+        assert pieces.solve_alone(text, voc) == pieces.solve([text], voc)[0].tolist()
+    flat, offsets = pieces.Encoder(voc).encode([b"a", b"the" * 400, None, b"the" * 400 + b" b"])
+    assert pieces.decode(flat, offsets, voc) == [b"a", b"the" * 400, b"", b"the" * 400 + b" b"]
+
+
 def test_trie_holds_every_piece(voc):
     words = sorted([b"a", b"ab", b"abc", b"b", b"ba", b"\xff\xff", b" a"])
     base, check, piece = pieces.double_array(words)

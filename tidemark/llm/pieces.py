@@ -32,6 +32,8 @@ from tidemark.llm import tables
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segments that a task keeps; beyond that it starts anew.
 KEPT_SEGMENTS = 400_000
+#: Segments of more bytes are solved one by one.
+LONG_SEGMENT = 512
 #: Added to the lowest score for a character without a piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -178,6 +180,38 @@ _WIDTH = np.ones(256, np.int64)
 _WIDTH[0xC0:0xE0], _WIDTH[0xE0:0xF0], _WIDTH[0xF0:] = 2, 3, 4
 
 
+def solve_alone(segment: bytes, voc: Vocabulary) -> list[int]:
+    """Pieces of one long segment; the same steps as ``solve`` takes, for one text."""
+    base, check, piece, score = (x.tolist() for x in (voc.base, voc.check, voc.piece, voc.score))
+    n = len(segment)
+    best, came, used = [float("-inf")] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+    best[0] = 0.0
+    for place in range(n):
+        if best[place] == float("-inf"):
+            continue
+        after, state, single = min(place + int(_WIDTH[segment[place]]), n), 0, False
+        for at in range(place, n):
+            child = base[state] + segment[at] + 1
+            if check[child] != state:
+                break
+            state = child
+            if piece[state] >= 0:
+                single |= at + 1 == after
+                total = best[place] + score[piece[state]]
+                if total > best[at + 1]:
+                    best[at + 1], came[at + 1], used[at + 1] = total, place, piece[state]
+        if not single and best[place] + voc.unknown > best[after]:
+            best[after], came[after], used[after] = best[place] + voc.unknown, place, -1
+    found, at = [], n
+    while at:
+        if used[at] < 0:
+            found += [int(voc.byte_piece[b]) for b in reversed(segment[came[at] : at])]
+        else:
+            found.append(used[at])
+        at = came[at]
+    return found[::-1]
+
+
 def solve(segments: list[bytes], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of each segment by Viterbi, all segments side by side: flat ids and n+1 offsets."""
     size = np.fromiter(map(len, segments), np.int64, len(segments))
@@ -276,7 +310,12 @@ class Encoder:
             self._clear()
         new = list(dict.fromkeys(s for segments in cut for s in segments if s not in self.known))
         if new:
-            flat, at = solve(new, self.voc)
+            new.sort(key=lambda s: len(s) > LONG_SEGMENT)
+            short = [s for s in new if len(s) <= LONG_SEGMENT]
+            flat, at = solve(short, self.voc)
+            alone = [np.array(solve_alone(s, self.voc), np.int32) for s in new[len(short) :]]
+            flat = np.concatenate([flat, *alone])
+            at = np.concatenate([at, at[-1] + np.cumsum([len(x) for x in alone], dtype=np.int64)])
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.at = np.concatenate([self.at, self.at[-1] + at[1:]])
             self.flat = np.concatenate([self.flat, flat])

@@ -111,6 +111,8 @@ def allocate(cost: list[dict[int, float]], total: int) -> tuple[float, tuple[int
 
 def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
     """Cheapest parts and thresholds for ``n`` fingerprints of which ``sample`` is a part."""
+    if not len(sample):
+        return Plan((tuple(range(64)),), (distance,))
     bits = np.unpackbits(sample.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(float)
     spread = bits.std(0)
     centred = (bits - bits.mean(0)) / np.where(spread > 0, spread, 1)
@@ -151,7 +153,7 @@ def _rows(codes: np.ndarray, plan: Plan) -> Iterator[tuple[int, int, np.ndarray,
 
 def _pairs(a: np.ndarray, b: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of the pairs of a and b within the distance, block by block."""
-    left, right = [], []
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(0, len(a), BLOCK):
         for j in range(0, len(b), BLOCK):
             x, y = np.nonzero(np.bitwise_count(a[i : i + BLOCK, None] ^ b[None, j : j + BLOCK]) <= distance)
