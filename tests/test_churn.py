@@ -1,3 +1,4 @@
+import math
 from datetime import date
 
 import pytest
@@ -67,3 +68,17 @@ def test_trend_and_rates(table, spark):
     )
     assert [(r["Industry"], r["ChurnRate"]) for r in churn.churn_rate_by_industry(view).collect()] == [("Media", 50.0), ("Retail", 0.0)]
     assert {r["Status"]: (r["x"], r["Customers"]) for r in churn.mean_by_status(view, "x").collect()} == {"Churned": (4.0, 2), "Active": (3.0, 1)}
+
+
+@pytest.mark.parametrize("degrees", [1e5, 1e7, 1e9, 1e10, 1e11, 1e12])
+@pytest.mark.parametrize("t", [0.01, 1.0, 3.0, 6.0])
+def test_many_degrees_of_freedom_go_to_the_normal_limit(t, degrees):
+    # The first term by which the t distribution departs from the normal one.
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    limit = math.erfc(t / math.sqrt(2)) + 2 * density * t * (t * t + 1) / (4 * degrees)
+    assert two_sided_p(t, degrees) == pytest.approx(limit, rel=max(1e-13, 2000 / degrees**2 * (1 + t**8)))
+
+
+def test_expansion_and_fraction_agree_where_they_meet():
+    for t in (0.1, 1.0, 2.5, 5.0):
+        assert two_sided_p(t, 10_001.0) == pytest.approx(incomplete_beta(5000.5, 0.5, 10_001 / (10_001 + t * t)), rel=1e-9)

@@ -97,24 +97,46 @@ def test_median_of_a_column_without_values_stays_missing(spark):
     assert [r["x"] for r in cleaning.fill_median(df, ["x"]).collect()] == [None, None]
 
 
-@pytest.mark.parametrize("broadcast_keys", [cleaning.BROADCAST_KEYS, 0])
-def test_hot_key_is_flagged_whole(spark, broadcast_keys):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_hot_key_is_flagged_whole(spark, threshold):
     """One customer holds a third of the rows and is an orphan."""
     child = spark.range(9000).select(
         "id",
         F.when(F.col("id") % 3 == 0, "X").otherwise(F.concat(F.lit("C"), F.col("id") % 50)).alias("CustomerID")
     )
     master = spark.range(50).select(F.concat(F.lit("c"), "id").alias("CustomerID"))
-    flagged = cleaning.flag_orphans(child, master, broadcast_keys=broadcast_keys)
-    assert flagged.columns == ["id", "CustomerID", "CustomerMatchStatus"]
-    counts = flagged.groupBy("CustomerMatchStatus").count().collect()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        flagged = cleaning.flag_orphans(child, master)
+        assert flagged.columns == ["id", "CustomerID", "CustomerMatchStatus"]
+        counts = flagged.groupBy("CustomerMatchStatus").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert {r["CustomerMatchStatus"]: r["count"] for r in counts} == {"Matched": 6000, "Orphan": 3000}
 
 
-def test_salts_spread_a_hot_key(spark):
-    orphans = spark.createDataFrame([("X",), (None,)], "CustomerID string")
-    rows = spark.range(6400).select("id", F.when(F.col("id") % 3 > 0, "X").alias("CustomerID"))
-    met = cleaning.meet_orphans(rows, orphans, "CustomerID", "left_semi", broadcast_keys=0)
-    assert met.count() == 6400 and met.columns == ["id", "CustomerID"]
-    salts = rows.groupBy(F.pmod(F.xxhash64(*rows.columns), F.lit(cleaning.SALTS)).alias("s")).count().collect()
-    assert len(salts) == cleaning.SALTS and max(r["count"] for r in salts) < 6400 / cleaning.SALTS * 1.5
+def test_adaptive_execution_splits_a_hot_orphan_key(spark):
+    """Both sides too large to broadcast: the hot key's partition is read by several tasks."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "X").otherwise(F.concat(F.lit("c"), (F.col("id") % 500).cast("string")))
+        rows = spark.range(0, 600_000, 1, 8).select(F.md5(F.col("id").cast("string")).alias("id"), key.alias("CustomerID"))
+        orphans = spark.createDataFrame([("X",), ("c7",)], "CustomerID string")
+        met = cleaning.meet_orphans(rows, orphans, "CustomerID", "left")
+        assert met.filter("_is_orphan").count() == 200_000 + 800
+        df = met.agg(F.sum(F.hash("id", "_is_orphan").cast("long")))
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

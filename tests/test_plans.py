@@ -47,7 +47,7 @@ def test_no_rows_go_to_a_single_task(spark, no_broadcast, name):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = lines[i + 1]
-            assert re.search(r"Aggregate\((keys?=\[\])?.*partial_|TakeOrdered|keys=\[\]", below) or name == "sql_revenue_rank", below
+            assert re.search(r"Aggregate\((keys?=\[\])?.*partial_|TakeOrdered|keys=\[\]", below), below
     assert not any("CartesianProduct" in line for line in lines)
 
 
@@ -82,7 +82,7 @@ def test_slices_expand_customers_four_times_only(spark, no_broadcast):
 
 def test_rank_of_many_rows_has_no_global_window(spark):
     tables = adapters.business_tables(spark, FOLDER)
-    text = plan(sql_queries.revenue_rank(spark, tables, small_rows=0))
+    text = plan(sql_queries.revenue_rank(spark, tables))
     assert "SinglePartition" not in text
     assert re.search(r"Window \[rank\(.*\[_part#", text)
 

@@ -91,7 +91,7 @@ def test_sql_reports(spark, cleaned, report, header, key):
 
 
 def test_rank_over_range_partitions(spark, cleaned):
-    ranked = sql_queries.revenue_rank(spark, cleaned, small_rows=0, partitions=7)
+    ranked = sql_queries.revenue_rank(spark, cleaned, partitions=7)
     _same(ranked, _published("CustomerID,CompanyName,TotalMRR,RevenueRank"), "CustomerID")
 
 

@@ -88,3 +88,14 @@ def test_shares(spark):
     df = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "c string")
     found = {r["c"]: (r["n"], r["Share"]) for r in revenue.share_of_rows(df, "c", "n").collect()}
     assert found == {"x": (2, 50.0), "y": (1, 25.0), None: (1, 25.0)}
+
+
+def test_a_plan_without_a_column_is_an_error(spark):
+    view = spark.createDataFrame(
+        [("A", "new", 5.0), ("A", "Growth", None), ("B", None, 1.0)], "Industry string, Plan string, TotalMRR double"
+    )
+    long = revenue.industry_plan_revenue(view).collect()
+    assert sorted(tuple(r) for r in long) == [("A", "Growth", 0.0), ("A", "new", 5.0)]
+    with pytest.raises(ValueError, match="new"):
+        revenue.pivot_industry_plan(view, ["Growth"])
+    assert revenue.pivot_industry_plan(view).columns == ["Industry", "Growth", "new"]

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from tidemark.schemas import BUSINESS
@@ -81,3 +82,43 @@ def test_partitioned_report_is_pruned(spark, tmp_path):
 def test_views(spark):
     views.register_views({"customers": spark.range(2).toDF("CustomerID")})
     assert spark.sql("SELECT count(*) FROM customers").first()[0] == 2
+
+
+FIELDS = T.StructType(
+    [T.StructField("id", T.LongType()), T.StructField("hours", T.DoubleType()), T.StructField("note", T.StringType())]
+)
+
+
+def _csv(tmp_path, text):
+    path = tmp_path / "table.csv"
+    path.write_text(text)
+    return str(path)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'id,hours,note\n1,2.5,"He said ""x"", ok"\n2,NA,"two\nlines"\n',
+        'note,id,extra,hours\n"He said ""x"", ok",1,z,2.5\n"two\nlines",2,,\n',
+    ],
+)
+def test_csv_columns_go_by_name(spark, tmp_path, text):
+    found = readers.read_csv(spark, _csv(tmp_path, text), FIELDS).collect()
+    assert [tuple(r) for r in found] == [(1, 2.5, 'He said "x", ok'), (2, None, "two\nlines")]
+
+
+def test_csv_without_a_column_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="hours"):
+        readers.read_csv(spark, _csv(tmp_path, "id,note\n1,a\n"), FIELDS)
+
+
+def test_csv_text_in_a_number_column_raises(spark, tmp_path):
+    df = readers.read_csv(spark, _csv(tmp_path, "id,hours,note\n1,bad,a\n"), FIELDS)
+    with pytest.raises(Exception, match="hours: not a double: bad"):
+        df.collect()
+
+
+def test_nan_is_missing_in_every_format(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(1, float("nan"), "a")], FIELDS).write.parquet(path)
+    assert readers.load_table(spark, path, fmt="parquet").first()["hours"] is None

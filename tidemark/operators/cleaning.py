@@ -11,10 +11,6 @@ from tidemark.operators.quantiles import exact_quantiles
 from tidemark.sources.readers import parse_date
 from tidemark.sources.staging import staged
 
-# Up to this many keys are broadcast; beyond it rows are spread over this many salts per key.
-BROADCAST_KEYS = 200_000
-SALTS = 32
-
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """Keep one of rows equal in every column; copies fold together before the shuffle."""
@@ -68,29 +64,19 @@ def orphan_keys(child: DataFrame, master: DataFrame, key: str = "CustomerID") ->
     return staged(child.select(key).distinct().join(known.distinct(), key, "left_anti"), "orphans")
 
 
-def meet_orphans(
-    rows: DataFrame, orphans: DataFrame, key: str, how: str, broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
-    """Join rows to the staged orphan keys without sending a hot key to one task.
+def meet_orphans(rows: DataFrame, orphans: DataFrame, key: str, how: str) -> DataFrame:
+    """Join rows to the staged orphan keys, which are unique.
 
-    Counted to be few, the keys are broadcast and the rows stay where they are. Otherwise every key is
-    repeated once per salt and the rows of a key spread over the salts by a hash of the whole row.
+    Spark broadcasts the keys if their size in bytes allows it. If not, adaptive execution splits the partitions that a
+    hot key makes large by their measured size, and repeats only that key's one row.
     """
     keys = orphans.select(F.col(key).alias("_orphan"), F.lit(True).alias("_is_orphan"))
-    same_key = F.col(key).eqNullSafe(F.col("_orphan"))
-    if orphans.count() <= broadcast_keys:
-        return rows.join(F.broadcast(keys), same_key, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
-    repeated = keys.withColumn("_key_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = salted.join(repeated, same_key & (F.col("_salt") == F.col("_key_salt")), how)
-    return joined.drop("_salt", "_key_salt")
-
-
-def flag_orphans(
-    child: DataFrame, master: DataFrame, key: str = "CustomerID", broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
+    return rows.join(keys, F.col(key).eqNullSafe(F.col("_orphan")), how)
+
+
+def flag_orphans(child: DataFrame, master: DataFrame, key: str = "CustomerID") -> DataFrame:
     """Add ``CustomerMatchStatus``: Matched when the master has the key, else Orphan."""
-    met = meet_orphans(child, orphan_keys(child, master, key), key, "left", broadcast_keys)
+    met = meet_orphans(child, orphan_keys(child, master, key), key, "left")
     status = F.when(F.col("_is_orphan"), "Orphan").otherwise("Matched")
     return met.withColumn("CustomerMatchStatus", status).drop("_orphan", "_is_orphan")
 

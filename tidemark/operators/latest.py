@@ -25,6 +25,6 @@ def latest_rows(
 
 
 def last_value(column: str, by: str, tie_break: str) -> Column:
-    """Aggregate: the last value of ``column`` that is not missing, in the order of ``by``."""
-    present = F.when(F.col(column).isNotNull(), F.struct(by, tie_break))
+    """Aggregate: the last value of ``column`` that is not missing; as everywhere, a missing ``by`` comes last."""
+    present = F.when(F.col(column).isNotNull(), missing_last(by, tie_break))
     return F.max_by(column, present)

@@ -14,9 +14,6 @@ from tidemark.sources.staging import staged
 
 PART = "_part"
 
-# Up to this many rows one task is a proven bound, and the plain form is the cheaper one.
-SMALL_ROWS = 200_000
-
 
 def range_parts(df: DataFrame, *order: Column, partitions: int | None = None) -> DataFrame:
     """Range partition by ``order`` and stage the rows with their partition number."""
@@ -25,59 +22,44 @@ def range_parts(df: DataFrame, *order: Column, partitions: int | None = None) ->
 
 
 def rank_descending(
-    df: DataFrame,
-    by: str,
-    tie_break: str,
-    output: str,
-    small_rows: int = SMALL_ROWS,
-    partitions: int | None = None,
+    df: DataFrame, by: str, tie_break: str, output: str, partitions: int | None = None
 ) -> DataFrame:
-    """``RANK() OVER (ORDER BY by DESC)``, NULL last, exact for any number of rows and ties.
+    """``RANK() OVER (ORDER BY by DESC)``, NULL last, exact for any type, number of rows and ties.
 
-    ``tie_break`` must be unique: it lets a large group of equal values spread over partitions.
+    ``tie_break`` must be unique: it lets a large group of equal values spread over partitions. Values keep their own
+    type, and are compared in Spark alone, so NaN, infinities, missing values and long numbers rank as in a window.
     """
-    rows = staged(df, "rank-input")
-    descending = F.col(by).desc_nulls_last()
-    if rows.count() <= small_rows:
-        return rows.withColumn(output, F.rank().over(Window.orderBy(descending)).cast("long"))
-
-    key = "_key"
-    keyed = rows.withColumn(key, F.coalesce(F.col(by).cast("double"), F.lit(float("-inf"))))
-    ordered = range_parts(keyed, F.col(key).desc(), F.col(tie_break), partitions=partitions)
-    summary = (
-        ordered.groupBy(PART, key)
+    key = F.struct(F.col(by).isNotNull().alias("present"), F.col(by).alias("value"))
+    ordered = range_parts(staged(df, "rank-input"), F.col(by).desc_nulls_last(), F.col(tie_break), partitions=partitions)
+    summary = staged(
+        ordered.groupBy(PART, key.alias("_key"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(PART)
         .agg(
             F.sum("n").alias("rows"),
-            F.max(key).alias("first"),
-            F.min(key).alias("last"),
-            F.min_by("n", key).alias("rows_at_last"),
-        )
-        .orderBy(PART)
+            F.max("_key").alias("first"),
+            F.min("_key").alias("last"),
+            F.min_by("n", "_key").alias("rows_at_last"),
+        ),
+        "rank-parts",
     )
-    corrections = []
-    rows_before, run_value, run_rows = 0, None, 0
-    for part in summary.collect():  # one row per partition
-        # Rows equal to this partition's first value that already stand in earlier partitions.
-        carried = run_rows if run_value == part["first"] else 0
-        corrections.append((part[PART], rows_before, part["first"], carried))
-        whole_part_tied = part["first"] == part["last"]
-        run_rows = part["rows_at_last"] + (carried if whole_part_tied else 0)
-        run_value = part["last"]
-        rows_before += part["rows"]
-    offsets = rows.sparkSession.createDataFrame(
-        corrections, f"{PART} int, _before long, _first double, _carried long"
+    # Rows before a partition that equal its first value stand at the ends of partitions whose last value it is.
+    here, other = summary.alias("here"), summary.alias("other")
+    tied = F.col("here.first").eqNullSafe(F.col("other.last")) & (F.col(f"other.{PART}") < F.col(f"here.{PART}"))
+    carried = (
+        here.join(other, tied, "left")
+        .groupBy(F.col(f"here.{PART}").alias(PART))
+        .agg(F.first("here.rows").alias("rows"), F.coalesce(F.sum("other.rows_at_last"), F.lit(0)).alias("_carried"))
     )
-    local = F.rank().over(Window.partitionBy(PART).orderBy(F.col(key).desc()))
+    offsets, before = [], 0
+    for part in carried.orderBy(PART).collect():  # one row per partition, counts only
+        offsets.append((part[PART], before, part["_carried"]))
+        before += part["rows"]
+    offsets = df.sparkSession.createDataFrame(offsets, f"{PART} int, _before long, _carried long")
+    local = F.rank().over(Window.partitionBy(PART).orderBy(F.col(by).desc_nulls_last()))
     return (
         ordered.withColumn("_local", local)
         .join(F.broadcast(offsets), PART)  # one row per partition
-        .withColumn(
-            output,
-            F.col("_local")
-            + F.col("_before")
-            - F.when(F.col(key) == F.col("_first"), F.col("_carried")).otherwise(0),
-        )
-        .select(*rows.columns, output)
+        .withColumn(output, F.col("_local") + F.col("_before") - F.when(F.col("_local") == 1, F.col("_carried")).otherwise(0))
+        .select(*df.columns, output)
     )

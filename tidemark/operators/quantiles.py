@@ -1,7 +1,6 @@
 """Exact quantiles with linear interpolation, for any number of rows.
 
-Small inputs use ``percentile``. It keeps every distinct value in one task, so larger inputs go
-another way, in scans that shuffle only the few values near the answer:
+``percentile`` would keep every distinct value in one task. These scans shuffle only the few values near the answer:
 
 1. a quantile sketch gives a bracket around every wanted rank;
 2. one scan counts the rows below and inside each bracket, which proves that the bracket holds
@@ -19,7 +18,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import PART, SMALL_ROWS, range_parts
+from tidemark.operators.ordering import PART, range_parts
 
 Wanted = dict[str, list[float]]
 
@@ -27,7 +26,6 @@ Wanted = dict[str, list[float]]
 def exact_quantiles(
     df: DataFrame,
     wanted: Wanted,
-    small_rows: int = SMALL_ROWS,
     accuracy: int = 10_000,
     partitions: int | None = None,
 ) -> dict[str, list[float | None]]:
@@ -37,11 +35,6 @@ def exact_quantiles(
     """
     numbers = df.select([F.col(c).cast("double").alias(c) for c in wanted])
     numbers = numbers.select([F.when(~F.isnan(c), F.col(c)).alias(c) for c in wanted])
-    if numbers.count() <= small_rows:
-        row = numbers.agg(
-            *[F.percentile(c, F.array(*map(F.lit, ps))).alias(c) for c, ps in wanted.items()]
-        ).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(ps) for c, ps in wanted.items()}
     return _by_brackets(numbers, wanted, accuracy, partitions)
 
 

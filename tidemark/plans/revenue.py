@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.features import KEY, subscription_facts
 from tidemark.operators.summaries import stack_rows
+from tidemark.sources.staging import staged
+
+#: Columns that a wide table may have at most; more is an error, never a cut.
+MAX_PLANS = 1000
 
 
 def industry_summary(customer_view: DataFrame) -> DataFrame:
@@ -17,10 +21,25 @@ def industry_summary(customer_view: DataFrame) -> DataFrame:
     )
 
 
-def pivot_industry_plan(customer_view: DataFrame, plans: list[str] | None = None) -> DataFrame:
-    """Revenue by industry and latest plan, 0 where there is none. Plans are looked up if not given."""
+def industry_plan_revenue(customer_view: DataFrame) -> DataFrame:
+    """Revenue by industry and latest plan, a row for each pair that occurs."""
     present = customer_view.filter("Industry IS NOT NULL AND Plan IS NOT NULL")
-    return present.groupBy("Industry").pivot("Plan", plans).agg(F.sum("TotalMRR")).na.fill(0)
+    return present.groupBy("Industry", "Plan").agg(F.coalesce(F.sum("TotalMRR"), F.lit(0.0)).alias("Revenue"))
+
+
+def pivot_industry_plan(customer_view: DataFrame, plans: list[str] | None = None) -> DataFrame:
+    """Wide form of ``industry_plan_revenue``, 0 where there is nothing; a column for each plan.
+
+    A plan that occurs and is not in ``plans`` is an error. Plans are looked up in the long table if not given.
+    """
+    long = staged(industry_plan_revenue(customer_view), "industry-plan")
+    present = sorted(r["Plan"] for r in long.select("Plan").distinct().limit(MAX_PLANS + 1).collect())
+    if len(present) > MAX_PLANS:
+        raise ValueError(f"more than {MAX_PLANS} plans: use industry_plan_revenue")
+    if plans is not None and set(present) - set(plans):
+        raise ValueError(f"plans without a column: {sorted(set(present) - set(plans))}")
+    columns = plans if plans is not None else present
+    return long.groupBy("Industry").pivot("Plan", columns).agg(F.sum("Revenue")).na.fill(0)
 
 
 def revenue_by_plan(subscriptions: DataFrame) -> DataFrame:

@@ -122,8 +122,8 @@ def revenue_rank(spark: SparkSession, tables: dict[str, DataFrame], **rank_optio
     return rank_descending(totals, "_total", "CustomerID", "RevenueRank", **rank_options).drop("_total")
 
 
-def orphans(tables: dict[str, DataFrame], **join_options) -> DataFrame:
+def orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """Subscriptions whose customer is not in the master."""
     subscriptions = tables["subscriptions"].select("SubscriptionID", "CustomerID", "PlanName", "MRR")
     missing = orphan_keys(subscriptions, tables["customers"])
-    return meet_orphans(subscriptions, missing, "CustomerID", "left_semi", **join_options)
+    return meet_orphans(subscriptions, missing, "CustomerID", "left_semi")

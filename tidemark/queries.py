@@ -74,10 +74,11 @@ def _all(spark, folder):
 
 @query("scan_orders")
 def scan_orders(spark, folder):
-    """Orders written as CSV with a header and scanned back with a fixed schema."""
+    """Orders written as CSV, columns in another order and with quotes and line breaks, scanned back by name."""
     orders = adapters.source(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    orders = orders.withColumn("note", F.concat(F.lit('said "'), "o_orderpriority", F.lit('",\nok')))
     path = new_folder(spark, "csv") + "/orders"
-    sinks.write_report(orders, path, "csv")
+    sinks.write_report(orders.select(*reversed(orders.columns)), path, "csv")
     return readers.read_csv(spark, path, orders.schema)
 
 
@@ -269,15 +270,9 @@ def correlation_matrix(spark, folder):
     )
 
 
-VIEW_METRICS = [
-    "LatestMRR", "LatestSeats", "AverageLogins", "AverageActiveUsers", "AverageAPICalls",
-    "AverageSessionMinutes", "TicketCount", "AverageSatisfaction", "AverageResolutionHours",
-]
-
-
 @query("correlation_long")
 def correlation_long(spark, folder):
-    return summaries.correlation_long(features.customer_360_latest(*_all(spark, folder)), VIEW_METRICS)
+    return summaries.correlation_long(features.customer_360_latest(*_all(spark, folder)), reports.VIEW_METRICS)
 
 
 @query("session_histogram")
@@ -389,22 +384,34 @@ def pivot_industry_plan(spark, folder):
     return pivot.select("Industry", *[F.col(f"`{p}`").alias(f"plan_{p[0]}") for p in PLANS])
 
 
+@query("industry_plan_revenue")
+def industry_plan_revenue(spark, folder):
+    return revenue.industry_plan_revenue(features.customer_360(*_all(spark, folder), as_of=AS_OF))
+
+
+def _priced_leniently(spark, folder):
+    """Subscriptions as a workbook holds them, some prices missing or no numbers, parsed as the workbook's are."""
+    number = F.col("SubscriptionID")
+    price = F.when(number % 41 == 0, "n.a.").when(number % 43 != 0, F.col("MRR").cast("decimal(18,2)").cast("string"))
+    return reports.lenient(_subscriptions(spark, folder).withColumn("MRR", price))
+
+
 @query("revenue_by_plan")
 def revenue_by_plan(spark, folder):
-    return revenue.revenue_by_plan(_subscriptions(spark, folder))
+    return revenue.revenue_by_plan(_priced_leniently(spark, folder))
 
 
 @query("revenue_by_industry")
 def revenue_by_industry(spark, folder):
     return revenue.revenue_by_customer_dimension(
-        _customers(spark, folder), _subscriptions(spark, folder), "Industry"
+        _customers(spark, folder), _priced_leniently(spark, folder), "Industry"
     )
 
 
 @query("revenue_by_channel")
 def revenue_by_channel(spark, folder):
     return revenue.revenue_by_customer_dimension(
-        _customers(spark, folder), _subscriptions(spark, folder), "AcquisitionChannel"
+        _customers(spark, folder), _priced_leniently(spark, folder), "AcquisitionChannel"
     )
 
 
@@ -468,6 +475,14 @@ def segment_summary(spark, folder):
     return segments.segment_summary(segments.segments(features.segment_features(*_children(spark, folder))))
 
 
+@query("segment_checks", money=frozenset(MONEY | {"MeanMRR"}))
+def segment_checks(spark, folder):
+    """What must hold whatever the clusters are: every customer has one segment, and the segments' sizes and revenue add
+    up to those of their customers; a customer's centre is the nearest; the cost does not rise with more clusters."""
+    base = staged(features.segment_features(*_children(spark, folder)), "features")
+    return segments.checks(base)
+
+
 @query("elbow_cost")
 def elbow_cost(spark, folder):
     return segments.elbow_cost(segments.vectors(features.segment_features(*_children(spark, folder))))

@@ -32,11 +32,43 @@ def missing_to_null(df: DataFrame) -> DataFrame:
     return df.select([convert(f) for f in df.schema.fields])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV file or folder with a header. Without a schema the types are inferred (an extra pass)."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return missing_to_null(reader.csv(path))
+def _typed(field: T.StructField) -> Column:
+    """Text of a CSV column as the field's type; text that is no such value raises."""
+    column = F.col(f"`{field.name}`")
+    present = F.when(~column.isin(*MISSING_TOKENS), column)
+    if isinstance(field.dataType, T.StringType):
+        return present.alias(field.name)
+    value = present.try_cast(field.dataType)
+    message = F.concat(F.lit(f"{field.name}: not a {field.dataType.simpleString()}: "), present)
+    wrong = present.isNotNull() & value.isNull()
+    return F.when(wrong, F.raise_error(message).cast(field.dataType)).otherwise(value).alias(field.name)
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    """CSV file or folder with a header, quotes doubled inside quoted text.
+
+    With a schema, columns are taken by their names in the header, in any order; a missing column is an error, columns
+    that the schema lacks are left out, and text that is no value of its column's type raises. All files of a folder
+    must have the header of the first. Without a schema the types are inferred (an extra pass). Quoted text may hold
+    line breaks; ``multi_line=False`` gives that up, and lets Spark split large files.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    if schema is None:
+        return missing_to_null(reader.option("inferSchema", True).csv(path))
+    found = reader.csv(path).columns
+    absent = [f.name for f in schema.fields if f.name not in found]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    text = T.StructType([T.StructField(name, T.StringType()) for name in found])
+    return reader.schema(text).option("enforceSchema", False).csv(path).select([_typed(f) for f in schema.fields])
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes NULL, whatever the format it came from."""
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
 
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "csv") -> DataFrame:
@@ -46,7 +78,7 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
             df = read_csv(spark, path, schema)
         else:
             reader = spark.read.format(fmt)
-            df = (reader.schema(schema) if schema is not None else reader).load(path)
+            df = nan_to_null((reader.schema(schema) if schema is not None else reader).load(path))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"{path} not found") from error

@@ -10,7 +10,7 @@ def write_report(
 ) -> None:
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -7,6 +7,7 @@ because the files live in the shared folder and not on an executor.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
     return context.getCheckpointDir().rstrip("/")
