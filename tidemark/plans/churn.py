@@ -34,6 +34,7 @@ def churn_rate_by_industry(customer_view: DataFrame) -> DataFrame:
 
 
 def mean_by_status(customer_view: DataFrame, column: str) -> DataFrame:
+    """Mean of ``column`` by status; ``Customers`` counts those that have the value, over which the mean is taken."""
     return (
         customer_view.filter("Status IS NOT NULL")
         .groupBy("Status")

@@ -1,4 +1,4 @@
-"""Eight SQL reports over the named relations ``customers``, ``subscriptions`` and ``usage``.
+"""Eight SQL reports over the relations ``customers``, ``subscriptions`` and ``usage``.
 
 Subscriptions are summed per customer inside each statement before the join, so the join sees one
 row per customer however unevenly the subscriptions are spread.
@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import meet_orphans, orphan_keys
 from tidemark.operators.ordering import rank_descending
-from tidemark.sources.views import register_views
 
 _REVENUE = """
     revenue AS (
-        SELECT CustomerID, sum(MRR) AS MRR FROM subscriptions GROUP BY CustomerID
+        SELECT CustomerID, sum(MRR) AS MRR FROM {subscriptions} GROUP BY CustomerID
     )
 """
 
@@ -23,20 +22,20 @@ STATEMENTS = {
     "customer_revenue": f"""
         WITH {_REVENUE}
         SELECT CustomerID, CompanyName, Industry, sum(MRR) AS TotalMRR
-        FROM customers LEFT JOIN revenue USING (CustomerID)
+        FROM {{customers}} LEFT JOIN revenue USING (CustomerID)
         GROUP BY ALL
         ORDER BY TotalMRR DESC
     """,
     "plan_revenue": """
         SELECT PlanName, count(*) AS SubscriptionCount, sum(MRR) AS TotalMRR, avg(MRR) AS AverageMRR
-        FROM subscriptions
+        FROM {subscriptions}
         GROUP BY ALL
         ORDER BY TotalMRR DESC
     """,
     "industry_having": f"""
         WITH {_REVENUE}
         SELECT Industry, count(DISTINCT CustomerID) AS Customers, sum(MRR) AS TotalMRR
-        FROM customers JOIN revenue USING (CustomerID)
+        FROM {{customers}} JOIN revenue USING (CustomerID)
         GROUP BY ALL
         HAVING TotalMRR > :minimum
         ORDER BY TotalMRR DESC
@@ -44,7 +43,7 @@ STATEMENTS = {
     "value_category": f"""
         WITH {_REVENUE}, totals AS (
             SELECT CustomerID, CompanyName, sum(MRR) AS TotalMRR
-            FROM customers LEFT JOIN revenue USING (CustomerID)
+            FROM {{customers}} LEFT JOIN revenue USING (CustomerID)
             GROUP BY ALL
         )
         SELECT *,
@@ -57,33 +56,34 @@ STATEMENTS = {
     "above_average": f"""
         WITH {_REVENUE}
         SELECT CustomerID, CompanyName, sum(MRR) AS TotalMRR
-        FROM customers JOIN revenue USING (CustomerID)
+        FROM {{customers}} JOIN revenue USING (CustomerID)
         GROUP BY ALL
-        HAVING TotalMRR > (SELECT avg(MRR) FROM subscriptions)
+        HAVING TotalMRR > (SELECT avg(MRR) FROM {{subscriptions}})
     """,
     "usage_summary": """
         WITH activity AS (
             SELECT CustomerID, avg(Logins) AS AverageLogins, avg(ActiveUsers) AS AverageActiveUsers,
                    avg(SessionMinutes) AS AverageSessionMinutes
-            FROM usage
+            FROM {usage}
             GROUP BY CustomerID
         )
         SELECT CustomerID, CompanyName, AverageLogins, AverageActiveUsers, AverageSessionMinutes
-        FROM customers JOIN activity USING (CustomerID)
+        FROM {customers} JOIN activity USING (CustomerID)
         ORDER BY AverageLogins DESC
     """,
     "customer_totals": f"""
         WITH {_REVENUE}
         SELECT CustomerID, CompanyName, sum(MRR) AS TotalMRR
-        FROM customers JOIN revenue USING (CustomerID)
+        FROM {{customers}} JOIN revenue USING (CustomerID)
         GROUP BY ALL
     """,
 }
 
 
 def run(spark: SparkSession, tables: dict[str, DataFrame], name: str, **parameters) -> DataFrame:
-    register_views(tables)
-    return spark.sql(STATEMENTS[name], args=parameters)
+    """The tables enter as arguments of the statement, so views that a user has under their names are left alone."""
+    used = {k: df for k, df in tables.items() if f"{{{k}}}" in STATEMENTS[name]}
+    return spark.sql(STATEMENTS[name], args=parameters, **used)
 
 
 def customer_revenue(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
