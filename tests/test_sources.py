@@ -1,3 +1,4 @@
+import os
 from datetime import date
 
 import pytest
@@ -122,3 +123,12 @@ def test_nan_is_missing_in_every_format(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     spark.createDataFrame([(1, float("nan"), "a")], FIELDS).write.parquet(path)
     assert readers.load_table(spark, path, fmt="parquet").first()["hours"] is None
+
+
+def test_staged_tables_go_with_their_block(spark):
+    folder = staging.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with staging.released(spark):
+        assert staging.staged(spark.range(5)).count() == 5
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before

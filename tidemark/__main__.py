@@ -14,6 +14,7 @@ from tidemark.operators.cleaning import clean_all
 from tidemark.plans.reports import write_all
 from tidemark.session import build_session
 from tidemark.sources.readers import load_tables
+from tidemark.sources.staging import released
 
 
 def main() -> None:
@@ -27,7 +28,8 @@ def main() -> None:
     spark = build_session()
     names = ("customers", "subscriptions", "usage", "tickets")
     raw = load_tables(spark, {name: f"{arguments.input}/{name}.csv" for name in names})
-    paths = write_all(spark, clean_all(raw), arguments.output, arguments.as_of, arguments.format)
+    with released(spark):
+        paths = write_all(spark, clean_all(raw), arguments.output, arguments.as_of, arguments.format)
     for name, path in paths.items():
         print(f"{name}: {path}")
 

@@ -10,7 +10,7 @@ from tidemark.operators import features, summaries
 from tidemark.plans import churn, cohorts, revenue, risk, segments, sql_queries
 from tidemark.sources.readers import try_parse_date, try_parse_number
 from tidemark.sources.sinks import write_reports
-from tidemark.sources.staging import staged
+from tidemark.sources.staging import released, staged
 
 Tables = dict[str, DataFrame]
 
@@ -116,6 +116,7 @@ def write_all(
     spark: SparkSession, tables: Tables, folder: str, as_of: date | None = None, fmt: str = "parquet"
 ) -> dict[str, str]:
     """Write the cleaned tables and every report; returns name → path. ``fmt`` is that of the reports."""
-    paths = write_workbook(spark, tables, f"{folder}/tables")
-    stored = {name: spark.read.parquet(paths[name]) for name in tables}
-    return paths | write_reports(analysis_reports(stored, as_of), f"{folder}/reports", fmt)
+    with released(spark):
+        paths = write_workbook(spark, tables, f"{folder}/tables")
+        stored = {name: spark.read.parquet(paths[name]) for name in tables}
+        return paths | write_reports(analysis_reports(stored, as_of), f"{folder}/reports", fmt)

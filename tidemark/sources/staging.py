@@ -10,10 +10,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_open_blocks: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; only a local session may fall back to a temporary one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -28,15 +33,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared folder, removed when the session ends."""
+    """A fresh folder under the shared folder, removed with the ``released`` block around it or the session."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     file_system.mkdirs(hadoop_path)
     file_system.deleteOnExit(hadoop_path)
+    if _open_blocks:
+        _open_blocks[-1].append(path)
     return path
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Folders made inside the block go when it ends, so results must be written by then."""
+    made: list[str] = []
+    _open_blocks.append(made)
+    try:
+        yield
+    finally:
+        _open_blocks.remove(made)
+        for path in made:
+            hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet and return a frame that reads the written table."""
     spark = df.sparkSession
