@@ -99,6 +99,7 @@ class FMIndex:
         late = np.concatenate([half[depth - span :], np.zeros(min(depth - span, n), np.int64)])[:n]
         apart = (half[order][1:] != half[order][:-1]) | (late[order][1:] != late[order][:-1])
         self.group = np.concatenate(([0], np.cumsum(apart))) if n else np.zeros(0, np.int64)
+        self.group_start = np.concatenate(([0], np.flatnonzero(apart) + 1, [n]))
         symbols = len(self.codes) + 1
         self.bwt = WaveletMatrix(text[order - 1], symbols)
         self.start = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=symbols))))
@@ -143,7 +144,9 @@ class FMIndex:
         """Matching statistics of all streams, joined: length of the match that starts at each place (not told apart
         beyond ``depth``) and the first of its suffixes.
 
-        A match grows by a unit in front at each step. When it cannot, the longest match at that place is sought anew.
+        A match grows by a unit in front at each step; one longer than ``depth`` is cut at its end, by going from its
+        range to that of all suffixes with the same ``depth`` units. When a match cannot grow, the longest one at that
+        place is sought anew.
         """
         size = np.fromiter(map(len, streams), np.int64, len(streams))
         begin = np.cumsum(size) - size
@@ -161,6 +164,10 @@ class FMIndex:
             for lane in np.flatnonzero(new_high <= new_low):
                 stop = place[lane] + run[lane] - 1
                 run[lane], new_low[lane], new_high[lane] = self.longest(joined[place[lane] : stop])
+            long = np.flatnonzero(run[:live] > self.depth)
+            kin = self.group[new_low[long]]
+            new_low[long], new_high[long] = self.group_start[kin], self.group_start[kin + 1]
+            run[long] = self.depth
             low[:live], high[:live] = new_low, new_high
             length[place], first[place] = run[:live], new_low
         return length, first
