@@ -1,6 +1,10 @@
 """Finding windows (runs of ``size`` units) that occur elsewhere in a corpus: the part that both operators share.
 
-Units are bytes or words. Every window is known by an anchor: the run of ``gram`` units in it with the smallest hash.
+Units are bytes or words. Every window is known by an anchor: the run of ``gram`` units in it with the smallest hash,
+where runs that are common in the corpus come after all others. So a line that a third of all documents have is the
+anchor only of windows that are common throughout, and those are few different ones; windows that hold a bit of it have
+anchors of their own. Which runs are common is told by a bounded sample; any set of them gives the same result.
+
 Equal windows have equal anchors at equal places, so they can only be found among the occurrences of one anchor.
 Consecutive windows with the same anchor make a stretch, and one row per stretch is shuffled by anchor: anchors seen
 once drop out there, equal stretches fall together into the first of them, and what remains are the distinct stretches
@@ -38,6 +42,49 @@ class Kind:
     within: bool
 
 
+#: Documents, about, in which common runs are looked for.
+SAMPLE_DOCUMENTS = 4096
+#: Share of all places from which on a run is common; there can be no more of them than one by this.
+COMMON_SHARE = 1.0 / (1 << 18)
+
+
+class Common:
+    """A set of hashes; most that are not in it are told by a table of leading bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes.astype(np.uint64))
+        self.table = np.zeros(1 << 22, bool)
+        self.table[self.hashes >> np.uint64(42)] = True
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        out = self.table[values >> np.uint64(42)]
+        maybe = np.flatnonzero(out)
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.hashes, values[maybe]), len(self.hashes) - 1)
+            out[maybe] = self.hashes[at] == values[maybe]
+        return out
+
+
+def common_runs(rows: DataFrame, kind: Kind) -> Common:
+    """Runs that are common in a sample; only such as repeat within a slice of text are counted."""
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        code, _ = units(batch.column("text"), kind)
+        gram, n = np.unique(arrays.rolling(code, kind.gram).view(np.int64), return_counts=True)
+        keep = n > 1
+        hashes = pa.array([*gram[keep].tolist(), None], pa.int64())
+        return pa.RecordBatch.from_arrays([hashes, pa.array(np.append(n[keep], len(code)))], names=["gram", "n"])
+
+    part = min(1.0, SAMPLE_DOCUMENTS / max(rows.count(), 1))
+    drawn = F.pmod(F.xxhash64(F.lit("sample"), "doc"), F.lit(1 << 20)) < F.lit(int(part * (1 << 20)))
+    counts = tables.map_slices(rows.filter(drawn).select("text"), count, "gram long, n long")
+    counts = counts.groupBy("gram").agg(F.sum("n").alias("n"))
+    total = counts.filter("gram IS NULL").select("n").first()
+    least = max(4, int((total["n"] if total else 0) * COMMON_SHARE))
+    found = counts.filter(F.col("gram").isNotNull() & (F.col("n") >= least)).select("gram").toArrow()
+    return Common(found.column("gram").to_numpy().view(np.uint64) if found.num_rows else np.zeros(0, np.uint64))
+
+
 def units(column: pa.Array, kind: Kind) -> tuple[np.ndarray, np.ndarray]:
     """64-bit codes of the units of all texts, and the n+1 offsets of the texts."""
     if kind.words:
@@ -47,10 +94,20 @@ def units(column: pa.Array, kind: Kind) -> tuple[np.ndarray, np.ndarray]:
     return arrays._BYTE_CODE[data], at
 
 
-STRETCHES = "anchor long, content long, doc long, mark long, start int, n int, lead int"
+STRETCHES = "anchor long, content long, doc long, mark long, start int, n int, lead int, state int"
+#: States of a stretch: nothing known; equal ones were seen beside it; an earlier equal one is known.
+_ALONE, _FIRST, _COPIED = 0, 1, 2
 
 
-def _stretches(batch: pa.RecordBatch, kind: Kind) -> pa.RecordBatch | None:
+def _later(rows: tuple, origin: tuple, kind: Kind) -> np.ndarray:
+    """Whether stretches, as (doc, mark, start), count as repeats of equal ones at ``origin``."""
+    later = rows[0] > origin[0]
+    if kind.within:
+        later |= (rows[0] == origin[0]) & ((rows[1] > origin[1]) | ((rows[1] == origin[1]) & (rows[2] > origin[2])))
+    return later
+
+
+def _stretches(batch: pa.RecordBatch, kind: Kind, common: Common) -> pa.RecordBatch | None:
     """Stretches of windows with one anchor: ``start`` of the first window, ``n`` windows, ``lead`` units before the
     anchor, and a hash of all their units and the place of the anchor."""
     code, at = units(batch.column("text"), kind)
@@ -59,7 +116,8 @@ def _stretches(batch: pa.RecordBatch, kind: Kind) -> pa.RecordBatch | None:
     if len(gram) < choices:
         return None
     place = np.arange(len(gram), dtype=np.uint64)
-    least = arrays.sliding(gram >> _PLACE_BITS << _PLACE_BITS | place, choices, np.minimum)
+    rank = gram >> np.uint64(1) | common(gram).astype(np.uint64) << np.uint64(63)
+    least = arrays.sliding(rank >> _PLACE_BITS << _PLACE_BITS | place, choices, np.minimum)
     window = np.arange(len(least))
     doc = np.searchsorted(at, window, side="right") - 1
     whole = window + kind.size <= at[doc + 1]
@@ -74,9 +132,21 @@ def _stretches(batch: pa.RecordBatch, kind: Kind) -> pa.RecordBatch | None:
     start, anchor, doc = window[first], anchor[first], doc[first]
     lead = anchor - start
     content = arrays.Segments(code).hash(start, start + n - 1 + kind.size) ^ arrays.mix(lead.astype(np.uint64))
-    columns = [gram[anchor].view(np.int64), content.view(np.int64)]
-    columns += [batch.column(c).to_numpy(zero_copy_only=False)[doc] for c in ("doc", "mark")]
-    columns += [x.astype(np.int32) for x in (start - at[doc], n, lead)]
+    where = start - at[doc]
+    key, mark = (batch.column(c).to_numpy(zero_copy_only=False)[doc] for c in ("doc", "mark"))
+    # Equal stretches meet here first: all but the earliest are settled, and are dealt out by where they stand, so a
+    # line that very many documents have sends one row for each slice of text to its anchor's task.
+    turn = np.lexsort((where, mark, key, content))
+    head = np.ones(len(turn), bool)
+    head[1:] = content[turn][1:] != content[turn][:-1]
+    origin = np.empty(len(turn), np.int64)
+    origin[turn] = turn[np.maximum.accumulate(np.where(head, np.arange(len(turn)), 0))]
+    copied = _later((key, mark, where), (key[origin], mark[origin], where[origin]), kind)
+    state = np.where(copied, _COPIED, _ALONE)
+    state[origin[copied]] = _FIRST
+    route = np.where(copied, arrays.mix((key + where).astype(np.uint64)), gram[anchor])
+    columns = [route.view(np.int64), content.view(np.int64), key, mark]
+    columns += [x.astype(np.int32) for x in (where, n, lead, state)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in STRETCHES.split(", ")])
 
 
@@ -86,7 +156,7 @@ FINDINGS = "anchor long, doc long, mark long, start int, n int, lead int, copied
 def _repeated(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[pa.RecordBatch]:
     """From stretches in order of (anchor, content, doc, mark, start): those whose anchor comes more than once.
 
-    ``copied`` ones have content that an earlier stretch has. The last row waits for the next batch, which may go on
+    ``copied`` ones have content that an earlier stretch has; those that are known to be pass through. The last row waits for the next batch, which may go on
     with its anchor; besides it only the first stretch of its content is kept.
     """
     held: np.ndarray | None = None  # the row that waits
@@ -99,7 +169,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[pa.Reco
         same[1:-1] = rows[0, 1:] == rows[0, :-1]
         same[0] = joined
         same[-1] = following is not None and following[0] == rows[0, -1]
-        shared = same[:-1] | same[1:]
+        shared = same[:-1] | same[1:] | (rows[7] == _FIRST)
         lead_row = np.ones(rows.shape[1], bool)
         lead_row[1:] = ~same[1:-1] | (rows[1, 1:] != rows[1, :-1])
         lead_row[0] = first is None or not joined or first[1] != rows[1, 0]
@@ -107,20 +177,25 @@ def _repeated(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[pa.Reco
         origin = rows[:, np.maximum(source, 0)]
         if source[0] < 0:
             origin[:, source < 0] = first[:, None]
-        later = rows[2] > origin[2]
-        if kind.within:
-            tie = rows[2] == origin[2]
-            later |= tie & ((rows[3] > origin[3]) | ((rows[3] == origin[3]) & (rows[4] > origin[4])))
+        later = _later(rows[2:5], origin[2:5], kind)
         first, joined = origin[:, -1].copy(), bool(same[-1])
-        out = rows[:, shared]
-        columns = [out[0], out[2], out[3], *(out[i].astype(np.int32) for i in (4, 5, 6)), later[shared]]
+        return found(rows[:, shared], later[shared])
+
+    def found(out: np.ndarray, copied: np.ndarray) -> pa.RecordBatch:
+        columns = [out[0], out[2], out[3], *(out[i].astype(np.int32) for i in (4, 5, 6)), copied]
         names = [x.split()[0] for x in FINDINGS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(7)])
+        rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(8)])
+        settled = rows[7] == _COPIED
+        if settled.any():
+            yield found(rows[:, settled], np.ones(int(settled.sum()), bool))
+            rows = rows[:, ~settled]
+            if not rows.shape[1]:
+                continue
         if held is not None:
             rows = np.concatenate([held, rows], axis=1)
         if rows.shape[1] > 1:
@@ -157,7 +232,9 @@ def covered(
     ``cut`` turns documents with their stretches (lists ``starts``, ``counts``, ``leads``, ``anchors``) into the rows
     that ``resolve`` works on; ``resolve`` returns ranges like ``COVERED``.
     """
-    found = tables.map_slices(rows.select("doc", "mark", "text"), lambda b: _stretches(b, kind), STRETCHES)
+    common = rows.sparkSession.sparkContext.broadcast(common_runs(rows, kind))  # some megabytes at most
+    texts = rows.select("doc", "mark", "text")
+    found = tables.map_slices(texts, lambda b: _stretches(b, kind, common.value), STRETCHES)
     ordered = found.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "mark", "start")
     findings = staging.put(ordered.mapInArrow(lambda b: _repeated(b, kind), FINDINGS), "findings")
     wanted = (
@@ -173,7 +250,7 @@ def covered(
             F.col("found.anchor").alias("anchors"),
         )
     )
-    texts = rows.select("doc", "mark", "text").join(wanted, ["doc", "mark"])
+    texts = texts.join(wanted, ["doc", "mark"])
     texts = staging.put(tables.map_slices(texts, cut, cut_schema), "stretches")
     solved = staging.put(resolve(texts), "solved")
     copied = findings.filter("copied").select("doc", "mark", "start", (F.col("start") + F.col("n") - 1 + kind.size).alias("end"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.staging import shared_folder
 
 #: Bytes of text that a task turns into arrays at a time. A longer text is handled alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 _shipped: set[str] = set()
