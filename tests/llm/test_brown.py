@@ -78,3 +78,36 @@ def test_probabilities_sum_to_one():
     counts = rng.integers(0, 50, (5, 5)).astype(float)
     model = brown.make_model(brown.Frequent(np.array([1, 2]), np.array([0, 1]), 3), counts, 100, 20, 5)
     assert np.power(10.0, model.transition).sum(1) == pytest.approx(np.ones(5))
+
+
+def test_many_words_at_a_time_move_like_one():
+    rng = np.random.default_rng(3)
+    words, classes = 40, 5
+    pairs = rng.poisson(0.3, (words + 2, words + 2)).astype(float)
+    label = np.append(rng.integers(0, classes, words), [classes, classes + 1])
+    counts = np.zeros((classes + 2, classes + 2))
+    np.add.at(counts, (label[:, None], label[None, :]), pairs)
+    after, before, expected = [], [], []
+    for word in range(words):
+        others = np.arange(words + 2) != word
+        after.append(np.bincount(label[others], weights=pairs[word, others], minlength=classes + 2))
+        before.append(np.bincount(label[others], weights=pairs[others, word], minlength=classes + 2))
+        old = int(label[word])
+        expected.append(brown.best_class(counts.copy(), classes, old, after[-1], before[-1], pairs[word, word]))
+    own = np.diag(pairs)[:words]
+    found = brown.best_classes(counts.copy(), classes, label[:words], np.array(after), np.array(before), own)
+    assert found.tolist() == expected and (found != label[:words]).any()
+
+
+def test_words_of_a_tiny_share_are_clustered(documents):
+    rng = np.random.default_rng(5)
+    # Each of these words makes up less than 2^-16 of the tokens.
+    pairs = [(first, f"{first}{i}") for first in ("alpha", "beta") for i in range(300)] * 4
+    rows = [(1, " ".join("so {} {} then".format(*pairs[i]) for i in rng.permutation(len(pairs))))]
+    rows += [(10 + i, "filler of many other words here " * 2500) for i in range(20)]
+    right = [(1000 + i, f"so alpha alpha{i} then") for i in range(300)]
+    wrong = [(2000 + i, f"so alpha beta{i} then") for i in range(300)]
+    df = brown.scores(documents([*rows, *right, *wrong]), F.col("doc_id") >= 1000, classes=16)
+    score = {r["doc_id"]: r["score"] for r in df.collect()}
+    # In one class for all of them, both would be equally likely.
+    assert np.mean([score[1000 + i] - score[2000 + i] for i in range(300)]) > 1

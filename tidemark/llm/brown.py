@@ -1,14 +1,16 @@
 """Language-model scores from a Brown class model: words get classes by exchange clustering, and a text's probability is
 the product of class transitions and of the words' emissions from their classes.
 
-Texts are packed into chunks with a word list each. Words of all chunks meet once to be counted, and go back to their
-chunks with their counts, so neither the vocabulary nor a text is ever broadcast. Words that make up at least
-``WORD_SHARE`` of the training tokens are clustered; there can be no more of them than 1 / WORD_SHARE, which bounds the
-class map that tasks get. All other words share one class, in which each still has its own counted probability.
+Texts are packed into chunks with a word list each. Words of all chunks meet in buckets by their hash, as packed lists, one
+row for each chunk and bucket, and what a bucket finds out about them goes back to the chunks the same way: first their
+counts, then their classes after each round. So neither the vocabulary, nor the classes, nor a text is ever broadcast or
+sent to the driver. All words seen at least ``LEAST`` times in training are clustered, however many there are. All others
+share one class, in which each still has its own counted probability.
 
-Exchange is done by tasks side by side: each goes through its words in turn, moves a word to the class that raises the
-likelihood most, and works on in its own copy of the class counts; after a round the moves are put together and the
-counts are taken anew. A round that lowers the likelihood is undone and ends the search.
+In a round every chunk counts its words' neighbours by class, a bucket sums these counts for its words, and each task
+moves a word to the class that raises the likelihood most, in its own copy of the class counts: words that make up at
+least ``WORD_SHARE`` of the training tokens one by one, the others in small batches. Then the counts are taken anew. A
+round that lowers the likelihood is undone and ends the search.
 
 Input cases: a null text is an empty one, whose only token is its end; repeated ids or rows are separate texts; a null
 id is trained on; with nothing to learn from every token has probability one in the base score; an empty table gives an
@@ -23,22 +25,29 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import arrays, tables
 
 CLASSES = 48
 ROUNDS = 5
-#: Share of the training tokens from which on a word is clustered.
+#: Times a word is seen in training from which on it is clustered; fewer do if they make up ``WORD_SHARE`` of the tokens.
+LEAST = 3
+#: Share of the training tokens from which on a word is moved by itself, and starts in a class by its rank.
 WORD_SHARE = 1.0 / (1 << 16)
+#: Words that are moved at a time otherwise.
+BATCH = 512
+#: Words of chunks that meet in one bucket, about, and buckets at least.
+BUCKET_WORDS, BUCKETS = 1 << 18, 256
 #: Text of one chunk, about.
 CHUNK_BYTES = 8 << 20
 #: Weight of the class's own share in a smoothed transition.
 TRANSITION_PRIOR = 16.0
 
 CHUNKS = (
-    "chunk long, docs array<long>, held array<boolean>, first binary, tokens binary, words binary, counts binary"
+    "chunk long, docs array<long>, held array<boolean>, first binary, tokens binary, words binary, counts binary, "
+    "n_words long, n_tokens long"
 )
 
 
@@ -67,6 +76,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.ListArray.from_arrays(one, rows.column("doc_id").combine_chunks()),
             pa.ListArray.from_arrays(one, pa.array(out)),
             *(pa.array([x.tobytes()], pa.binary()) for x in (first, tokens, words, counts)),
+            pa.array([len(words)]),
+            pa.array([int(counts.sum())]),
         ]
         return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in CHUNKS.split(", ")])
 
@@ -82,22 +93,115 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield chunk()
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of words by bucket, the buckets that have some, and where each begins and the last ends in that order."""
+    bucket = (words.view(np.uint64) >> np.uint64(8)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    some, begin = np.unique(bucket[order], return_index=True)
+    return order, some.astype(np.int64), np.append(begin, len(words))
+
+
+def _packed(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows of numbers and arrays; arrays as bytes."""
+    fields = [x.split() for x in schema.split(", ")]
+    columns = []
+    for (_, kind), values in zip(fields, zip(*rows) if rows else [[]] * len(fields)):
+        if kind == "binary":
+            columns.append(pa.array([x.tobytes() for x in values], pa.binary()))
+        else:
+            columns.append(pa.array(values, pa.int64()))
+    return pa.RecordBatch.from_arrays(columns, names=[f[0] for f in fields])
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of one bucket after the other, from rows in order of buckets."""
+    held: list[dict] = []
     for batch in batches:
-        for row in batch.select(["chunk", "words", "counts"]).to_pylist():
-            words, counts = np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64)
-            n = len(words)
-            columns = [words, np.full(n, row["chunk"], np.int64), np.arange(n, dtype=np.int32), counts]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["word", "chunk", "number", "n"])
+        for row in batch.to_pylist():
+            if held and held[0]["bucket"] != row["bucket"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _joined(rows: list[dict], name: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(r[name], kind) for r in rows])
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
+COUNTED = "bucket long, chunk long, words binary, counts binary"
+#: The row of a bucket with chunk -1 has its words that are often, the number of words seen and of words clustered.
+TOTALS = "chunk long, bucket long, words binary, totals binary, seen long, clustered long"
+
+
+def _count_rows(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, counts = np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64)
+                order, some, at = _bucket(words, buckets)
+                words, counts = words[order], counts[order]
+                parts = zip(some.tolist(), at[:-1], at[1:])
+                yield _packed([(k, row["chunk"], words[i:j], counts[i:j]) for k, i, j in parts], COUNTED)
+
+    return run
+
+
+def _total_rows(least: int, often: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        for rows in _by_bucket(batches):
+            words, place = np.unique(_joined(rows, "words", np.int64), return_inverse=True)
+            total = np.bincount(place, weights=_joined(rows, "counts", np.int64)).astype(np.int64)
+            top, bucket = total >= often, rows[0]["bucket"]
+            out = [(-1, bucket, words[top], total[top], int((total > 0).sum()), int((total >= least).sum()))]
+            ends = np.cumsum([len(r["words"]) // 8 for r in rows])[:-1]
+            out += [(r["chunk"], bucket, none, total[p], 0, 0) for r, p in zip(rows, np.split(place, ends))]
+            yield _packed(out, TOTALS)
+
+    return run
+
+
+def _with_totals(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                order, _, _ = _bucket(np.frombuffer(one.column("words")[0].as_py(), np.int64), buckets)
+                totals = np.zeros(len(order), np.int64)
+                found = one.column("found")[0].as_py()
+                if found:
+                    totals[order] = _joined(found, "totals", np.int64)
+                columns = [one.column(c) for c in ("chunk", "docs", "held", "first", "tokens", "words")]
+                columns.append(pa.array([totals.tobytes()], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in BASE.split(", ")])
+
+    return run
+
+
+BASE = "chunk long, docs array<long>, held array<boolean>, first binary, tokens binary, words binary, totals binary"
+
+
+def _back(rows: DataFrame, answers: DataFrame, *names: str) -> DataFrame:
+    """Chunks with what the buckets answered them, in order of buckets; nothing if no word of theirs was asked for."""
+    found = F.sort_array(F.collect_list(F.struct("bucket", *names))).alias("found")
+    return rows.join(answers.groupBy("chunk").agg(found), "chunk", "left")
 
 
 @dataclass
 class Frequent:
-    """Words to be clustered (hashes in order) and the class of each; the next class is all other words, then the end."""
+    """Words that are often (hashes in order, 1 / WORD_SHARE at most) and the class each starts in. Other clustered words
+    start in one by their hash. After the ``classes`` come the class of all other words, and that of the end."""
 
     words: np.ndarray
     label: np.ndarray
     classes: int
+    least: int = LEAST
 
     def numbers(self, words: np.ndarray) -> np.ndarray:
         """Place of each word in ``words``; all others get the place behind the last."""
@@ -106,9 +210,14 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, at, len(self.words))
 
-    def labels(self) -> np.ndarray:
-        """Class by place, with the two places that follow: other words, and the end of a text."""
-        return np.append(self.label, [self.classes, self.classes + 1])
+    def start(self, words: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        """First class of each word."""
+        label = (words.view(np.uint64) % np.uint64(self.classes)).astype(np.int16)
+        place = self.numbers(words)
+        often = place < len(self.words)
+        label[often] = self.label[place[often]]
+        label[totals < self.least] = self.classes
+        return label
 
 
 def _sequence(row: dict, number: np.ndarray, end: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,42 +235,84 @@ def _sequence(row: dict, number: np.ndarray, end: int, keep: np.ndarray) -> tupl
     return before[mine], after[mine]
 
 
-def _pair_rows(frequent: Frequent):
+def _labels(row: dict, frequent: Frequent, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each word of a chunk, and the clustered words in the order in which buckets answer."""
+    words = np.frombuffer(row["words"], np.int64)
+    label = frequent.start(words, np.frombuffer(row["totals"], np.int64))
+    live = np.flatnonzero(label < frequent.classes)
+    live = live[_bucket(words[live], buckets)[0]]
+    if row.get("found"):
+        label[live] = _joined(row["found"], "label", np.int16)
+    return label, live
+
+
+#: ``size`` cells for each word: class of the word after, class of the word before behind these, or the word itself.
+#: Rows with bucket -1 count class pairs.
+ENTRIES = "bucket long, chunk long, words binary, label binary, size binary, cell binary, n binary"
+
+
+def _entry_rows(frequent, buckets: int):
+    """``frequent`` is a broadcast one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = len(frequent.words) + 1
+        width = frequent.value.classes + 2
+        stride, none = 2 * width + 1, np.zeros(0, np.int16)
+        pairs = np.zeros(width * width, np.int64)
         for batch in batches:
             for row in batch.to_pylist():
-                number = frequent.numbers(np.frombuffer(row["words"], np.int64))
-                keep = ~np.array(row["held"], dtype=bool)
-                before, after = _sequence(row, number, end, keep)
-                pair, n = np.unique(before * (end + 1) + after, return_counts=True)
-                columns = [(pair // (end + 1)).astype(np.int32), (pair % (end + 1)).astype(np.int32), n]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "n"])
+                words = np.frombuffer(row["words"], np.int64)
+                label, live = _labels(row, frequent.value, buckets)
+                end = len(words)
+                before, after = _sequence(row, np.arange(end), end, ~np.array(row["held"], dtype=bool))
+                kind = np.append(label, width - 1).astype(np.int64)
+                pairs += np.bincount(kind[before] * width + kind[after], minlength=len(pairs))
+                place = np.full(end + 1, -1, np.int64)
+                place[live] = np.arange(len(live))
+                itself = before == after
+                follows = np.where(itself, 2 * width, kind[after])
+                key = np.concatenate((place[before] * stride + follows, place[after] * stride + width + kind[before]))
+                key = key[np.concatenate((place[before] >= 0, (place[after] >= 0) & ~itself))]
+                if len(live) * stride < 1 << 24:
+                    n = np.bincount(key)
+                    key = np.flatnonzero(n)
+                    n = n[key]
+                else:
+                    key, n = np.unique(key, return_counts=True)
+                cell, n = (key % stride).astype(np.int16), n.astype(np.int32)
+                size = np.bincount(key // stride, minlength=len(live)).astype(np.int16)
+                first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+                _, some, at = _bucket(words[live], buckets)
+                out = []
+                for k, i, j in zip(some.tolist(), at[:-1], at[1:]):
+                    of, cells = live[i:j], slice(first[i], first[j])
+                    out.append((k, row["chunk"], words[of], label[of], size[i:j], cell[cells], n[cells]))
+                yield _packed(out, ENTRIES)
+        yield _packed([(-1, -1, none, none, none, none, pairs)], ENTRIES)
 
     return run
 
 
-def _class_counts(neighbours: DataFrame, frequent: Frequent) -> np.ndarray:
+def _class_counts(entries: DataFrame, width: int) -> np.ndarray:
     """Class bigram counts; a row per class pair and task is all that is shuffled."""
-    width, label = frequent.classes + 2, frequent.labels()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width * width, np.int64)
         for batch in batches:
-            for word, other, n in zip(*(batch.column(c) for c in ("word", "after", "after_n"))):
-                own = label[word.as_py()] * width
-                found = np.bincount(own + label[other.values.to_numpy()], weights=n.values.to_numpy(), minlength=len(total))
-                total += found.astype(np.int64)
+            for n in batch.column("n"):
+                total += np.frombuffer(n.as_py(), np.int64)
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
-    table = neighbours.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    rows = entries.filter("bucket < 0").select("n").mapInArrow(run, "cell long, n long")
+    table = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(width * width)
     counts[table.column("cell").to_numpy()] = table.column("n").to_numpy()
     return counts.reshape(width, width)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
+    # A task's own counts may fall below zero where neighbours move in the same round.
+    x = np.maximum(x, 0)
     return x * np.log(np.maximum(x, 1e-300))
 
 
@@ -200,65 +351,131 @@ def best_class(
     return new
 
 
-def _moves(neighbours: DataFrame, frequent: Frequent, counts: np.ndarray) -> np.ndarray:
-    """New classes of all words, each task moving its own."""
-    held = neighbours.sparkSession.sparkContext.broadcast((frequent.labels(), counts))
-    classes, width = frequent.classes, frequent.classes + 2
+def best_classes(
+    counts: np.ndarray, classes: int, old: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray
+) -> np.ndarray:
+    """``best_class`` for many words, each as if it alone moved; then ``counts`` changed to all moves."""
+    n = len(old)
+    at = np.arange(n)
+    gain = np.zeros((n, classes))
+
+    def side(table: np.ndarray, mine: np.ndarray, other: np.ndarray) -> None:
+        word, cell = np.nonzero(mine)
+        if not len(word):
+            return
+        more = mine[word, cell][:, None]
+        entry, was = np.arange(len(word)), old[word]
+        now = table[:classes, cell].T.copy()
+        now[entry, was] -= more[:, 0]
+        hit = np.flatnonzero(cell == was)
+        now[hit] -= other[word[hit], :classes]
+        now[hit, was[hit]] -= own[word[hit]]
+        change = _xlogx(now + more) - _xlogx(now)
+        inner = np.flatnonzero(cell < classes)
+        change[inner, cell[inner]] = 0  # the cell of a class with itself comes below
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        gain[word[first]] += np.add.reduceat(change, first, axis=0)
+
+    side(counts, after, before)
+    side(counts.T, before, after)
+    itself = np.tile(np.diag(counts)[:classes], (n, 1))
+    itself[at, old] -= after[at, old] + before[at, old] + own
+    gain += _xlogx(itself + after[:, :classes] + before[:, :classes] + own[:, None]) - _xlogx(itself)
+    for margin, mine in ((counts.sum(1), after), (counts.sum(0), before)):
+        size = (mine.sum(1) + own)[:, None]
+        rest = np.tile(margin[:classes], (n, 1))
+        rest[at, old] -= size[:, 0]
+        gain -= _xlogx(rest + size) - _xlogx(rest)
+    new = gain.argmax(1)
+    kept = gain[at, old]
+    new = np.where(gain[at, new] <= kept + 1e-9 * np.abs(kept), old, new)
+    moved = np.flatnonzero(new != old)
+    for label, sign in ((old[moved], -1), (new[moved], 1)):
+        np.add.at(counts, label, sign * after[moved])
+        np.add.at(counts.T, label, sign * before[moved])
+        np.add.at(counts, (label, label), sign * own[moved])
+    return new
+
+
+ANSWERS = "chunk long, bucket long, label binary"
+
+
+def _move_rows(counts, classes: int, often: int):
+    """New classes of all words, each task moving its own. ``counts`` are broadcast ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label, mine = held.value[0].copy(), held.value[1].copy()
-        words, found = [], []
-        for batch in batches:
-            columns = (batch.column(c) for c in ("word", "after", "after_n", "before", "before_n"))
-            for word, *lists in zip(*columns):
-                word = word.as_py()
-                after, after_n, before, before_n = (x.values.to_numpy() for x in lists)
-                if word >= len(label) - 2:
-                    continue
-                same = after == word
-                own = float(after_n[same].sum())
-                follow = np.bincount(label[after[~same]], weights=after_n[~same], minlength=width)
-                other = before != word
-                precede = np.bincount(label[before[other]], weights=before_n[other], minlength=width)
-                label[word] = best_class(mine, classes, int(label[word]), follow, precede, own)
-                words.append(word)
-                found.append(int(label[word]))
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.int32()), pa.array(found, pa.int32())], names=["word", "label"])
-
-    table = neighbours.mapInArrow(run, "word int, label int").toArrow()
-    label = frequent.label.copy()
-    label[table.column("word").to_numpy()] = table.column("label").to_numpy()
-    return label
-
-
-def cluster(chunks: DataFrame, frequent: Frequent, staging: tables.Staging, rounds: int) -> tuple[Frequent, np.ndarray]:
-    """Exchange rounds; returns the words with their classes, and the class bigram counts."""
-    pairs = chunks.select("held", "first", "tokens", "words").mapInArrow(_pair_rows(frequent), "a int, b int, n long")
-    pairs = staging.put(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-
-    def side(own: str, other: str, name: str) -> DataFrame:
-        found = pairs.groupBy(F.col(own).alias("word")).agg(F.collect_list(F.struct(other, "n")).alias("found"))
-        return found.select("word", F.col(f"found.{other}").alias(name), F.col("found.n").alias(f"{name}_n"))
-
-    # A word has no more neighbours than there are clustered words, and two.
-    neighbours = staging.put(side("a", "b", "after").join(side("b", "a", "before"), "word"), "neighbours")
-    counts = _class_counts(neighbours, frequent)
+        mine, width = counts.value.copy(), classes + 2
+        stride = 2 * width + 1
+        for rows in _by_bucket(batches):
+            words, head, place = np.unique(_joined(rows, "words", np.int64), return_index=True, return_inverse=True)
+            label = _joined(rows, "label", np.int16)[head].astype(np.int64)
+            cell, n = _joined(rows, "cell", np.int16), _joined(rows, "n", np.int32)
+            of = np.repeat(place, _joined(rows, "size", np.int16))
+            # Every token of a word has one token after it, which may be the word itself.
+            total = np.bincount(of, weights=n * ((cell < width) | (cell == 2 * width)), minlength=len(words))
+            turn = np.argsort(-total, kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[turn] = np.arange(len(words))
+            key, where = np.unique(rank[of] * stride + cell, return_inverse=True)
+            n = np.bincount(where, weights=n)
+            singles = int((total >= often).sum())
+            for begin in [*range(singles), *range(singles, len(words), BATCH)]:
+                end = begin + 1 if begin < singles else min(begin + BATCH, len(words))
+                part = slice(*np.searchsorted(key, [begin * stride, end * stride]))
+                dense = np.zeros((end - begin) * stride)
+                dense[key[part] - begin * stride] = n[part]
+                dense = dense.reshape(-1, stride)
+                after, before, own = dense[:, :width], dense[:, width : 2 * width], dense[:, -1]
+                which = turn[begin:end]
+                if begin < singles:
+                    old = int(label[which[0]])
+                    label[which] = best_class(mine, classes, old, after[0], before[0], own[0])
+                else:
+                    label[which] = best_classes(mine, classes, label[which], after, before, own)
+            label = label.astype(np.int16)
+            ends = np.cumsum([len(r["words"]) // 8 for r in rows])[:-1]
+            bucket = rows[0]["bucket"]
+            yield _packed([(r["chunk"], bucket, label[p]) for r, p in zip(rows, np.split(place, ends))], ANSWERS)
+
+    return run
+
+
+def cluster(
+    base: DataFrame, frequent, buckets: int, often: int, staging: tables.Staging, rounds: int
+) -> tuple[DataFrame, np.ndarray]:
+    """Exchange rounds; returns the chunks with the classes of their words, and the class bigram counts."""
+    context, classes = base.sparkSession.sparkContext, frequent.value.classes
+    rows = base.select("chunk", "held", "first", "tokens", "words", "totals")
+
+    def counted(answers: DataFrame | None, turn: int) -> tuple[DataFrame, np.ndarray]:
+        joined = rows if answers is None else _back(rows, answers, "label")
+        entries = staging.put(joined.mapInArrow(_entry_rows(frequent, buckets), ENTRIES), f"entries{turn}")
+        return entries, _class_counts(entries, classes + 2)
+
+    best = None
+    entries, counts = counted(None, 0)
     value = likelihood(counts)
-    for _ in range(rounds if len(frequent.words) else 0):
-        moved = Frequent(frequent.words, _moves(neighbours, frequent, counts), frequent.classes)
-        fresh = _class_counts(neighbours, moved)
+    for turn in range(rounds):
+        held = context.broadcast(counts)
+        moved = _dealt(entries.filter("bucket >= 0")).mapInArrow(_move_rows(held, classes, often), ANSWERS)
+        moved = staging.put(moved, f"classes{turn}", keep=True)
+        staging.release(f"entries{turn}")
+        entries, fresh = counted(moved, turn + 1)
         better = likelihood(fresh)
         if better <= value:
             break
-        frequent, counts, gained, value = moved, fresh, better - value, better
+        if best is not None:
+            staging.release(f"classes{turn - 1}")
+        best, counts, gained, value = moved, fresh, better - value, better
         if gained < 1e-4 * abs(value):
             break
-    return frequent, counts
+    return (base if best is None else _back(base, best, "label")), counts
 
 
 @dataclass
 class Model:
     frequent: Frequent
+    buckets: int
     transition: np.ndarray  # log10, class before by class
     class_total: np.ndarray  # training tokens by class
     tail_words: int
@@ -267,12 +484,21 @@ class Model:
     ends: int
 
 
-def make_model(frequent: Frequent, counts: np.ndarray, tokens: int, vocabulary: int, ends: int) -> Model:
+def make_model(
+    frequent: Frequent,
+    counts: np.ndarray,
+    tokens: int,
+    vocabulary: int,
+    ends: int,
+    clustered: int | None = None,
+    buckets: int = BUCKETS,
+) -> Model:
+    """``clustered`` words are not in the class of all others; those of ``frequent`` if not given."""
     share = (counts.sum(0) + 1) / (counts.sum() + len(counts))
     smoothed = counts + TRANSITION_PRIOR * share
     transition = np.log10(smoothed / smoothed.sum(1, keepdims=True))
-    tail = vocabulary - len(frequent.words) - (ends > 0)
-    return Model(frequent, transition, counts.sum(0), tail, tokens, vocabulary, ends)
+    tail = vocabulary - (len(frequent.words) if clustered is None else clustered) - (ends > 0)
+    return Model(frequent, buckets, transition, counts.sum(0), tail, tokens, vocabulary, ends)
 
 
 SCORES = (
@@ -283,11 +509,10 @@ SCORES = (
 
 def _score(row: dict, model: Model) -> pa.RecordBatch:
     words = np.frombuffer(row["words"], np.int64)
-    total = np.array(row["totals"], dtype=np.float64)
-    frequent, end = model.frequent, len(model.frequent.words) + 1
-    place = frequent.numbers(words)
-    label = frequent.labels()
-    kind = label[place]
+    total = np.frombuffer(row["totals"], np.int64).astype(np.float64)
+    frequent, end = model.frequent, len(words)
+    kind, _ = _labels(row, frequent, model.buckets)
+    label = np.append(kind, frequent.classes + 1)
     tail = kind == frequent.classes
     of_class = model.class_total[kind]
     with np.errstate(divide="ignore"):
@@ -299,7 +524,7 @@ def _score(row: dict, model: Model) -> pa.RecordBatch:
     first = np.frombuffer(row["first"], np.int64)
     n = len(first) - 1
     size = np.diff(first) + 1
-    before, after = _sequence(row, place, end, np.ones(n, bool))
+    before, after = _sequence(row, np.arange(end), end, np.ones(n, bool))
     spot = np.ones(len(after), bool)
     spot[np.cumsum(size) - 1] = False
     token = np.full(len(after), len(words), np.int64)
@@ -330,26 +555,31 @@ def scores(docs: DataFrame, held_out: Column, classes: int = CLASSES, rounds: in
         F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held"), F.col("text").cast("binary").alias("text")
     )
     with tables.Staging(spark, "brown") as staging:
-        chunks = staging.put(texts.mapInArrow(_pack, CHUNKS), "chunks", keep=True)
-        rows = chunks.mapInArrow(_word_rows, "word long, chunk long, number int, n long")
-        rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("word")))
-        words = staging.put(rows.select("word", "chunk", "number", "n", "total"), "words", keep=True)
-        found = words.agg(F.sum("n").alias("n")).first()
+        chunks = staging.put(texts.mapInArrow(_pack, CHUNKS), "chunks")
+        found = chunks.agg(F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens")).first()
         ends = texts.filter(~F.col("held")).count()
-        tokens = int(found["n"] or 0) + ends
-        floor = max(1, int(np.ceil(tokens * WORD_SHARE)))
-        # One row stands for each word: the one of its smallest chunk would need a shuffle, so shares are summed.
-        often = words.filter(F.col("total") >= floor).groupBy("word").agg(F.first("total").alias("total")).toArrow()
-        vocabulary = words.filter("n > 0").agg(F.count_distinct("word")).first()[0] + (ends > 0)
-        word, total = often.column("word").to_numpy(), often.column("total").to_numpy()
+        tokens = int(found["tokens"] or 0) + ends
+        buckets = max(BUCKETS, int(found["words"] or 0) // BUCKET_WORDS)
+        often = max(1, int(np.ceil(tokens * WORD_SHARE)))
+        least = min(LEAST, often)
+        counted = chunks.select("chunk", "words", "counts").mapInArrow(_count_rows(buckets), COUNTED)
+        totals = staging.put(_dealt(counted).mapInArrow(_total_rows(least, often), TOTALS), "totals")
+        own = totals.filter("chunk < 0")
+        sums = own.agg(F.sum("seen").alias("seen"), F.sum("clustered").alias("clustered")).first()
+        vocabulary, clustered = int(sums["seen"] or 0) + (ends > 0), int(sums["clustered"] or 0)
+        top = [r for r in own.select("words", "totals").toArrow().to_pylist() if r["words"]]
+        word, total = (_joined(top, c, np.int64) if top else np.zeros(0, np.int64) for c in ("words", "totals"))
         order = np.argsort(word)
         rank = np.empty(len(word), np.int64)
         rank[np.lexsort((word, -total))] = np.arange(len(word))
-        frequent = Frequent(word[order], (rank % classes)[order], classes)
-        frequent, counts = cluster(chunks, frequent, staging, rounds)
-        model = make_model(frequent, counts, tokens, int(vocabulary), ends)
-        totals = words.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("number", "total"))).alias("found"))
-        totals = totals.select("chunk", F.col("found.total").alias("totals"))
+        frequent = Frequent(word[order], (rank % classes)[order], classes, least)
+        answered = _back(chunks, totals.filter("chunk >= 0"), "totals")
+        base = staging.put(answered.mapInArrow(_with_totals(buckets), BASE), "base", keep=True)
+        staging.release("chunks")
+        staging.release("totals")
+        starts = spark.sparkContext.broadcast(frequent)
+        labelled, counts = cluster(base, starts, buckets, often, staging, rounds if clustered else 0)
+        model = make_model(frequent, counts, tokens, vocabulary, ends, clustered, buckets)
         held = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,10 +587,7 @@ def scores(docs: DataFrame, held_out: Column, classes: int = CLASSES, rounds: in
                 for i in range(batch.num_rows):
                     yield _score(batch.slice(i, 1).to_pylist()[0], held.value)
 
-        # A chunk without any word has no totals.
-        empty = F.array().cast("array<long>")
-        joined = chunks.join(totals, "chunk", "left").withColumn("totals", F.coalesce("totals", empty))
-        return joined.drop("counts").mapInArrow(run, SCORES)
+        return labelled.mapInArrow(run, SCORES)
 
 
 def op1_brown_scores(spark, sf_dir: str) -> DataFrame:
