@@ -57,3 +57,15 @@ def test_stage_drops_only_holders(llm, documents, folder):
     rows = [(1, f"x {item} y"), (2, "clean text here"), (None, item), (None, "clean"), (3, None)]
     kept = decontamination.stage(llm, documents(rows), folder(benchmark=tests)).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept if r["doc_id"]) == [("2", "clean text here"), ("3", None)]
+
+
+def test_stage_keeps_clean_rows_beside_holders(llm, documents, folder):
+    item = "a b c d e f g h i j"
+    tests = llm.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (None, "clean"), (None, None), (7, f"x {item}"), (7, "clean too"), (7, f"x {item}")]
+    # Only together do these two hold the item.
+    rows += [(8, "a b c d e f g"), (8, "d e f g h i j"), (None, "a b c d e f g"), (None, "d e f g h i j")]
+    kept = decontamination.stage(llm, documents(rows), folder(benchmark=tests))
+    assert kept.columns == documents(rows).columns
+    expected = [r for r in rows if r[1] is None or item not in r[1]]
+    assert sorted(map(str, expected)) == sorted(str((r["doc_id"], r["text"])) for r in kept.collect())

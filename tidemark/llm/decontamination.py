@@ -65,7 +65,12 @@ def contaminated(
     docs: DataFrame, items: DataFrame, width: int = SHINGLE, threshold: float = THRESHOLD
 ) -> DataFrame:
     """Pairs ``doc_id``, ``item_id`` with ``n_shingles`` of the item and ``n_found`` of them in the document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    return _pairs(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), items, width, threshold)
+
+
+def _pairs(docs: DataFrame, items: DataFrame, width: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The same for documents that are known by an ``id`` of any type, a struct too."""
+    docs = docs.select("id", F.col("text").cast("string").alias("text"))
     items = items.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     with tables.Staging(docs.sparkSession, "decontaminate") as staging:
         sketch = staging.put(sketches(items, width, threshold), "sketches", keep=True)
@@ -112,6 +117,9 @@ WHERE 10 * f.n_found >= 8 * s.n_shingles
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    found = contaminated(docs, tables.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("bad"))
-    return docs.join(found.distinct(), docs["doc_id"].eqNullSafe(F.col("bad")), "left_anti")
+    """Pipeline stage: documents that hold a benchmark item go. Here rows are one document only if id and text are the
+    same, so a row stays whatever others with its id, or without one, hold."""
+    keyed = docs.withColumn("_key", F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("mark")))
+    found = _pairs(keyed.select(F.col("_key").alias("id"), "text"), tables.table(spark, sf_dir, "benchmark"))
+    bad = found.select(F.col("doc_id").alias("_bad")).distinct()
+    return keyed.join(bad, F.col("_key") == F.col("_bad"), "left_anti").drop("_key")
