@@ -78,3 +78,15 @@ def test_stage_drops_only_texts_without_a_language(documents):
     kept = language.stage(documents(rows).sparkSession, documents(rows), "")
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {2, 3}
+
+
+def test_stage_keeps_a_text_in_three_languages(documents):
+    mixed = "the garden with the house and the children, das haus und der garten mit den kindern; дом и сад с детьми и собакой"
+    # Half of the letters in a script that no language has, the others in two languages.
+    half = "the house and the garden, дом и сад с детьми " + "日" * 34
+    rows = [(1, mixed, None), (2, half, None), (3, "the house 日本語日本語日本語日本語日本語", None)]
+    rows += [(10 + i, *t[1:]) for i, t in enumerate(TRAIN)]
+    spans = language.identify(documents(rows[:2]), model(documents)).collect()
+    assert all(r["score"] < 0.5 and len(r["spans"]) > 1 for r in spans)
+    kept = language.stage(documents(rows).sparkSession, documents(rows), "")
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {3}

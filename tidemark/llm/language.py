@@ -228,6 +228,11 @@ SPANS = "doc_id long, lang_pred string, score double, n_letters long, spans arra
 
 
 def _label(batch: pa.RecordBatch, model: Model | None, penalty: float) -> pa.RecordBatch:
+    return _labelled(batch, model, penalty)[0]
+
+
+def _labelled(batch: pa.RecordBatch, model: Model | None, penalty: float) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Rows of ``SPANS``, and the share of each text's letters that spans of any language hold."""
     found = letters(batch.column("text"))
     n = batch.num_rows
     size = found.end - found.start
@@ -264,7 +269,7 @@ def _label(batch: pa.RecordBatch, model: Model | None, penalty: float) -> pa.Rec
         names=["start", "end", "lang"],
     )
     offsets = np.searchsorted(doc[head], np.arange(n + 1)).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
+    rows = pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),
             pa.array(told[pick], pa.string()),
@@ -274,6 +279,7 @@ def _label(batch: pa.RecordBatch, model: Model | None, penalty: float) -> pa.Rec
         ],
         names=["doc_id", "lang_pred", "score", "n_letters", "spans"],
     )
+    return rows, share.sum(1) / np.maximum(n_letters, 1)
 
 
 def in_training(doc_id: Column) -> Column:
@@ -307,8 +313,8 @@ def op3_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str, floor: float = 0.5) -> DataFrame:
-    """Pipeline stage: documents go if they have no letters or no language holds ``floor`` of their letters.
-    """
+    """Pipeline stage: documents go if they have no letters or spans of the learned languages, all taken together, hold
+    less than ``floor`` of their letters."""
     tables.ship(spark)
     model = fit(labelled_rows(docs).filter(in_training(F.col("doc_id"))))
     held = spark.sparkContext.broadcast(model)
@@ -319,9 +325,9 @@ def stage(spark, docs: DataFrame, sf_dir: str, floor: float = 0.5) -> DataFrame:
             rows = pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(batch.num_rows)), text], names=["doc_id", "text"]
             )
-            found = _label(rows, held.value, SWITCH_PENALTY)
+            found, share = _labelled(rows, held.value, SWITCH_PENALTY)
             good = np.array(found.column("lang_pred").to_pylist(), dtype=object) != "und"
-            good &= found.column("score").to_numpy() >= floor
+            good &= share >= floor
             yield batch.filter(pa.array(good))
 
     columns = docs.select("doc_id", "text", "lang", "source", "n_chars")
