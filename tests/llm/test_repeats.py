@@ -6,9 +6,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemark.llm import fmindex, suffixes
+from tidemark.llm import arrays, fmindex, repeats, suffixes
 
 LAST = 1 << 63
 
@@ -137,3 +138,17 @@ def test_loser_tree_merges_and_tells_shared_lengths():
         assert [runs[r][i] for r, i, _ in out] == compared
         expected = suffixes.shared_prefixes(compared).tolist()
         assert [k for _, _, k in out] == expected
+
+
+@pytest.mark.parametrize("words", [False, True])
+def test_texts_longer_than_places_have_bits(monkeypatch, words):
+    rng = random.Random(9)
+    text = " ".join(rng.choices(["alpha", "be", "gam", "d"], k=900)).encode()
+    kind = repeats.Kind(words=words, size=20, gram=4, within=True)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([text], pa.binary()), "doc": [1], "mark": [2]})
+    monkeypatch.setattr(repeats, "_PLACE_BITS", np.uint64(6))
+    found = repeats._stretches(batch, kind, repeats.Common(np.zeros(0, np.uint64))).to_pylist()
+    rank = arrays.rolling(repeats.units(batch.column("text"), kind)[0], kind.gram) >> np.uint64(7)
+    width = kind.size - kind.gram + 1
+    expected = [i + int(rank[i : i + width].argmin()) for i in range(len(rank) - width + 1)]
+    assert [r["start"] + r["lead"] for r in sorted(found, key=lambda r: r["start"]) for _ in range(r["n"])] == expected

@@ -28,7 +28,7 @@ from tidemark.llm import arrays, tables
 from tidemark.llm.tables import Staging
 
 _LARGEST = (1 << 63) - 1
-#: Bits of a hash that order anchors; the rest of the 64 holds the place, so texts may have 2**28 units in a slice.
+#: Bits of a 64-bit word that hold the place of a run within a piece; the rest is the hash that orders anchors.
 _PLACE_BITS = np.uint64(28)
 
 
@@ -94,6 +94,20 @@ def units(column: pa.Array, kind: Kind) -> tuple[np.ndarray, np.ndarray]:
     return arrays._BYTE_CODE[data], at
 
 
+def _anchors(rank: np.ndarray, choices: int) -> np.ndarray:
+    """Place of the least of each ``choices`` ranks in turn, the first of equal ones. More ranks than the place has
+    bits for are walked in pieces that overlap by a window less one."""
+    most = 1 << int(_PLACE_BITS)
+    mask = np.uint64(most - 1)
+    found = []
+    for begin in range(0, len(rank) - choices + 1, most - choices + 1):
+        piece = rank[begin : begin + most]
+        place = np.arange(len(piece), dtype=np.uint64)
+        least = arrays.sliding(piece >> _PLACE_BITS << _PLACE_BITS | place, choices, np.minimum)
+        found.append((least & mask).astype(np.int64) + begin)
+    return found[0] if len(found) == 1 else np.concatenate(found)
+
+
 STRETCHES = "anchor long, content long, doc long, mark long, start int, n int, lead int, state int"
 #: States of a stretch: nothing known; equal ones were seen beside it; an earlier equal one is known.
 _ALONE, _FIRST, _COPIED = 0, 1, 2
@@ -115,13 +129,11 @@ def _stretches(batch: pa.RecordBatch, kind: Kind, common: Common) -> pa.RecordBa
     gram = arrays.rolling(code, kind.gram)
     if len(gram) < choices:
         return None
-    place = np.arange(len(gram), dtype=np.uint64)
     rank = gram >> np.uint64(1) | common(gram).astype(np.uint64) << np.uint64(63)
-    least = arrays.sliding(rank >> _PLACE_BITS << _PLACE_BITS | place, choices, np.minimum)
-    window = np.arange(len(least))
+    anchor = _anchors(rank, choices)
+    window = np.arange(len(anchor))
     doc = np.searchsorted(at, window, side="right") - 1
     whole = window + kind.size <= at[doc + 1]
-    anchor = (least & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
     window, anchor, doc = window[whole], anchor[whole], doc[whole]
     if not len(window):
         return None
