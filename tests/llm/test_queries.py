@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_names():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 

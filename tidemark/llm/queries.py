@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bpe import op11_byte_bpe
 from tidemark.llm.brown import op1_brown_scores
 from tidemark.llm.chat import op7_chat_formatting
 from tidemark.llm.decontamination import ORACLE_SQL as DECONTAMINATION_SQL
@@ -42,6 +43,7 @@ REGISTRY: dict[str, Query] = {
     "op8_sentencepiece": _shipped(op8_sentencepiece),
     "op9_quality_rules": _shipped(op9_quality_rules),
     "op10_decontamination": _shipped(op10_decontamination),
+    "op11_byte_bpe": _shipped(op11_byte_bpe),
 }
 
 ORACLE: dict[str, str] = {"op10_decontamination": DECONTAMINATION_SQL, "op6_warc": WARC_SQL}
