@@ -19,7 +19,7 @@ def test_names():
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 
-@pytest.mark.parametrize("name", ["op6_warc", "op10_decontamination"])
+@pytest.mark.parametrize("name", ["op6_warc", "op10_decontamination", "op13_phrases"])
 def test_query_matches_sql(llm, name):
     duck = duckdb.connect()
     for table in ("documents", "pages", "benchmark"):

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.alignment import op12_token_alignment
 from tidemark.llm.bpe import op11_byte_bpe
 from tidemark.llm.brown import op1_brown_scores
 from tidemark.llm.chat import op7_chat_formatting
@@ -13,6 +14,8 @@ from tidemark.llm.decontamination import ORACLE_SQL as DECONTAMINATION_SQL
 from tidemark.llm.decontamination import op10_decontamination
 from tidemark.llm.fmindex import op2_fm_index
 from tidemark.llm.language import op3_language_id
+from tidemark.llm.phrases import ORACLE_SQL as PHRASES_SQL
+from tidemark.llm.phrases import op13_phrases
 from tidemark.llm.pieces import op8_sentencepiece
 from tidemark.llm.quality import op9_quality_rules
 from tidemark.llm.simhash import op4_simhash
@@ -44,6 +47,8 @@ REGISTRY: dict[str, Query] = {
     "op9_quality_rules": _shipped(op9_quality_rules),
     "op10_decontamination": _shipped(op10_decontamination),
     "op11_byte_bpe": _shipped(op11_byte_bpe),
+    "op12_token_alignment": _shipped(op12_token_alignment),
+    "op13_phrases": _shipped(op13_phrases),
 }
 
-ORACLE: dict[str, str] = {"op10_decontamination": DECONTAMINATION_SQL, "op6_warc": WARC_SQL}
+ORACLE: dict[str, str] = {"op10_decontamination": DECONTAMINATION_SQL, "op6_warc": WARC_SQL, "op13_phrases": PHRASES_SQL}
