@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import BUSINESS, raw_schema
+from tidemark.sources.csv_ranges import read_records
+from tidemark.sources.staging import staged
 
 # Text that a CSV reader takes as a missing value.
 MISSING_TOKENS = (
@@ -51,18 +54,36 @@ def read_csv(
 
     With a schema, columns are taken by their names in the header, in any order; a missing column is an error, columns
     that the schema lacks are left out, and text that is no value of its column's type raises. All files of a folder
-    must have the header of the first. Without a schema the types are inferred (an extra pass). Quoted text may hold
-    line breaks; ``multi_line=False`` gives that up, and lets Spark split large files.
+    must have the header of the first. Without a schema the types are inferred (an extra pass, one task per file).
+    Quoted text may hold line breaks; large files are read side by side all the same, after a scan that counts quotes.
+    ``multi_line=False`` gives line breaks up and saves that scan.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is None:
+        reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
         return missing_to_null(reader.option("inferSchema", True).csv(path))
+    return read_text(spark, path, schema, multi_line).select([_typed(f) for f in schema.fields])
+
+
+def read_text(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """The columns of a CSV file or folder as text, with all that the schema names."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     found = reader.csv(path).columns
     absent = [f.name for f in schema.fields if f.name not in found]
     if absent:
         raise ValueError(f"{path} has no column {', '.join(absent)}")
     text = T.StructType([T.StructField(name, T.StringType()) for name in found])
-    return reader.schema(text).option("enforceSchema", False).csv(path).select([_typed(f) for f in schema.fields])
+    if not multi_line:
+        return reader.schema(text).option("enforceSchema", False).csv(path)
+    record = F.col("record")
+    record = F.when(record.endswith("\r"), F.expr("left(record, length(record) - 1)")).otherwise(record)
+    record = F.when(F.col("first"), F.replace(record, F.lit("\ufeff"), F.lit(""))).otherwise(record)
+    rows = read_records(spark, path).select("first", record.alias("record")).filter("record != ''")
+    columns = ", ".join(f"`{name.replace('`', '``')}` string" for name in found)
+    rows = rows.select("first", F.from_csv("record", columns, {"escape": '"', "maxCharsPerColumn": "-1"}).alias("row"))
+    other = F.concat(F.lit(f"{path}: a file with another header: "), F.to_json("row"))
+    named = F.to_json("row") == F.to_json(F.struct(*[F.lit(name).alias(name) for name in found]))
+    rows = rows.filter(F.when(F.col("first") & ~named, F.raise_error(other).cast("boolean")).otherwise(~F.col("first")))
+    return rows.select("row.*")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -71,11 +92,59 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
 
 
-def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "csv") -> DataFrame:
+@dataclass
+class Loaded:
+    """Rows that fit their schema, the text of those that do not with the reasons, and how many there are of both."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def split_rejects(text: DataFrame, schema: T.StructType, reasons: str = "Reasons") -> Loaded:
+    """Part rows of text columns by whether every value is one of its column's type (dates ISO, missing allowed).
+
+    One pass reads the rows and writes both sides, each to a folder of its own; the counts are observed on the way.
+    """
+    fields, wrong = [], []
+    for field in schema.fields:
+        column = F.col(f"`{field.name}`")
+        present = F.when(~column.isin(*MISSING_TOKENS), column)
+        value = present if isinstance(field.dataType, T.StringType) else present.try_cast(field.dataType)
+        fields.append(value.alias(field.name))
+        if not isinstance(field.dataType, T.StringType):
+            kind = F.lit(f"{field.name}: not a {field.dataType.simpleString()}")
+            wrong.append(F.when(present.isNotNull() & value.isNull(), kind))
+    found = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
+    marked = text.select(F.struct(*fields).alias("row"), F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]).alias("text"), found.alias("reasons"))
+    bad = F.size("reasons") > 0
+    marked = marked.select(
+        bad.alias("rejected"), F.when(~bad, F.col("row")).alias("row"), F.when(bad, F.col("text")).alias("text"), "reasons"
+    )
+    seen = Observation()
+    marked = marked.observe(
+        seen, F.count_if(~F.col("rejected")).alias("accepted"), F.count_if("rejected").alias("rejected")
+    )
+    both = staged(marked, "load", partition_by=["rejected"])
+    return Loaded(
+        both.filter("NOT rejected").select("row.*"),
+        both.filter("rejected").select("text.*", F.array_join("reasons", "; ").alias(reasons)),
+        dict(seen.get),
+    )
+
+
+def load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> Loaded:
+    """Read a CSV table; rows with a value that is none of its column's type are set aside instead of ending the load."""
+    return split_rejects(read_text(spark, path, schema, multi_line), schema)
+
+
+def load_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "csv", multi_line: bool = True
+) -> DataFrame:
     """Read one table; a missing path or an empty table is an error."""
     try:
         if fmt == "csv":
-            df = read_csv(spark, path, schema)
+            df = read_csv(spark, path, schema, multi_line)
         else:
             reader = spark.read.format(fmt)
             df = nan_to_null((reader.schema(schema) if schema is not None else reader).load(path))
@@ -89,11 +158,11 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def load_tables(
-    spark: SparkSession, paths: dict[str, str], fmt: str = "csv", raw: bool = True
+    spark: SparkSession, paths: dict[str, str], fmt: str = "csv", raw: bool = True, multi_line: bool = True
 ) -> dict[str, DataFrame]:
     """Load named business tables, each checked. ``raw`` keeps dates as text for the cleaning step."""
     return {
-        name: load_table(spark, path, raw_schema(name) if raw else BUSINESS[name], fmt)
+        name: load_table(spark, path, raw_schema(name) if raw else BUSINESS[name], fmt, multi_line)
         for name, path in paths.items()
     }
 

@@ -58,9 +58,9 @@ def released(spark: SparkSession) -> Iterator[None]:
             hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-def staged(df: DataFrame, label: str = "stage") -> DataFrame:
+def staged(df: DataFrame, label: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and return a frame that reads the written table."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
