@@ -739,6 +739,84 @@ STATEMENTS: dict[str, tuple[str, str]] = {
                (SELECT count(*) FROM segment_base) AS segmented,
                (SELECT count(DISTINCT date_trunc('month', SignupDate)) FROM customers) AS cohorts""",
     ),
+    # by time, by group, by sketch
+    "load_rejects": (
+        "",
+        """WITH texts AS (
+    SELECT o_orderkey AS Key, CASE WHEN o_orderkey % 41 = 0 THEN 'unknown' WHEN o_orderkey % 43 <> 0
+            THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day_text,
+        CASE WHEN o_orderkey % 37 = 0 THEN 'n.a.' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS price
+    FROM orders
+), judged AS (
+    SELECT Key, TRY_CAST(day_text AS DATE) AS Day, TRY_CAST(price AS DOUBLE) AS MRR,
+        nullif(concat_ws('; ', CASE WHEN day_text IS NOT NULL AND TRY_CAST(day_text AS DATE) IS NULL THEN 'Day: not a date' END,
+            CASE WHEN TRY_CAST(price AS DOUBLE) IS NULL THEN 'Price: not a double' END), '') AS Reasons
+    FROM texts
+)
+SELECT Key, CASE WHEN Reasons IS NULL THEN Day END AS Day,
+    CASE WHEN Reasons IS NULL THEN round(MRR, 2) END AS MRR, Reasons,
+    (SELECT count(*) FROM judged WHERE Reasons IS NULL) AS AcceptedRows,
+    (SELECT count(*) FROM judged WHERE Reasons IS NOT NULL) AS RejectedRows
+FROM judged""",
+    ),
+    "quartiles_by_industry": (
+        "customers subscriptions",
+        """SELECT Industry, round(quantile_cont(MRR, 0.25), 6) AS Q1, round(quantile_cont(MRR, 0.5), 6) AS Median,
+               round(quantile_cont(MRR, 0.75), 6) AS Q3
+           FROM subscriptions LEFT JOIN customers USING (CustomerID) GROUP BY ALL""",
+    ),
+    "quartiles_by_customer": (
+        "subscriptions",
+        """SELECT CustomerID, round(quantile_cont(MRR, 0.25), 6) AS Q1, round(quantile_cont(MRR, 0.5), 6) AS Median,
+               round(quantile_cont(MRR, 0.75), 6) AS Q3
+           FROM subscriptions GROUP BY ALL""",
+    ),
+    "plan_at_usage": (
+        "subscriptions usage",
+        """, states AS (
+    SELECT CustomerID, StartDate, max(SubscriptionID) AS SubscriptionID, arg_max(PlanName, SubscriptionID) AS PlanName,
+        arg_max(Status, SubscriptionID) AS Status
+    FROM subscriptions GROUP BY ALL
+)
+SELECT u.CustomerID, u.Month, Logins, round(ActiveUsers, 6) AS ActiveUsers, APICalls,
+    round(SessionMinutes, 6) AS SessionMinutes, SubscriptionID, PlanName, Status
+FROM usage AS u ASOF LEFT JOIN states AS s ON u.CustomerID = s.CustomerID AND u.Month >= s.StartDate""",
+    ),
+    "plan_at_shipment": (
+        "subscriptions",
+        """, states AS (
+    SELECT CustomerID, StartDate, max(SubscriptionID) AS SubscriptionID, arg_max(PlanName, SubscriptionID) AS PlanName,
+        arg_max(Status, SubscriptionID) AS Status
+    FROM subscriptions GROUP BY ALL
+), shipped AS (
+    SELECT o_custkey AS CustomerID, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS Shipped
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+)
+SELECT u.*, SubscriptionID, PlanName, Status
+FROM shipped AS u ASOF LEFT JOIN states AS s ON u.CustomerID = s.CustomerID AND u.Shipped >= s.StartDate""",
+    ),
+    "active_by_day": (
+        "subscriptions",
+        """, spans AS (
+    SELECT StartDate, EndDate, CAST(MRR AS DECIMAL(28,4)) AS MRR FROM subscriptions
+    WHERE EndDate IS NULL OR EndDate > StartDate
+), days AS (
+    SELECT CAST(unnest(generate_series(min(StartDate), greatest(max(StartDate), max(EndDate)), INTERVAL 1 DAY)) AS DATE) AS Day
+    FROM spans
+)
+SELECT Day, count(StartDate) AS Active, round(CAST(coalesce(sum(MRR), 0) AS DOUBLE), 2) AS Amount
+FROM days LEFT JOIN spans ON StartDate <= Day AND (EndDate IS NULL OR EndDate > Day) GROUP BY ALL""",
+    ),
+    "approx_active_customers": (
+        "customers",
+        """, months AS (
+    SELECT DISTINCT o_custkey AS CustomerID, date_diff('month', SignupDate, CAST(o_orderdate AS DATE)) AS MonthNo
+    FROM orders JOIN customers ON o_custkey = CustomerID WHERE SignupDate IS NOT NULL
+)
+SELECT CAST(MonthNo AS INTEGER) AS MonthNo, count(DISTINCT CustomerID) AS ActiveCustomers, TRUE AS Within3Percent,
+    TRUE AS HalvesAgree
+FROM months WHERE MonthNo >= 0 GROUP BY ALL""",
+    ),
     # SQL reports
     "sql_customer_revenue": (
         "customers subscriptions",

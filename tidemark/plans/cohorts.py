@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_start, whole_months_between
 from tidemark.operators.features import KEY
+from tidemark.operators.sketches import distinct_sketches, estimate, merged
 from tidemark.operators.summaries import stack_rows
 
 
@@ -47,13 +48,16 @@ def cohort_retention(customers: DataFrame, activity: DataFrame) -> DataFrame:
     return active.join(sizes, "Cohort").withColumn("RetentionRate", rate)
 
 
-def retention_matrix(retention: DataFrame, at_least: int = 0) -> DataFrame:
+def retention_matrix(retention: DataFrame, at_least: int = 0, at_most: int = 1200) -> DataFrame:
     """One row per cohort, one column per month number.
 
-    Columns run from 0 to the last month found, and to ``at_least`` columns for a stable schema.
+    Columns run from 0 to the last month found, and to ``at_least`` columns for a stable schema. A month number from
+    ``at_most`` on (a mistyped year, say) is an error that names it; the table of ``cohort_retention`` has no such bound.
     ``retention`` is read twice: pass a staged table.
     """
     last = retention.agg(F.max("MonthNo").alias("m")).first()["m"]
+    if last is not None and last >= at_most:
+        raise ValueError(f"month number {last} would give a matrix of {last + 1} columns, of {at_most} allowed")
     months = list(range(max(at_least, 0 if last is None else last + 1)))
     return retention.groupBy("Cohort").pivot("MonthNo", months).agg(F.first("RetentionRate"))
 
@@ -74,6 +78,16 @@ def retention_curve(customers: DataFrame, activity: DataFrame) -> DataFrame:
     )
 
 
+def activity_sketches(customers: DataFrame, activity: DataFrame) -> DataFrame:
+    """Sketches of the active customers per cohort and month number, to be stored and merged."""
+    return distinct_sketches(monthly_activity(customers, activity), ["Cohort", "MonthNo"], KEY)
+
+
+def approximate_curve(sketches: DataFrame) -> DataFrame:
+    """Active customers per month number over all cohorts, estimated from stored sketches alone."""
+    return merged(sketches, ["MonthNo"]).select("MonthNo", estimate().alias("ActiveCustomers"))
+
+
 def best_and_worst_cohort(retention: DataFrame, month_no: int = 1) -> DataFrame:
     """The cohorts with the highest and lowest rate in a month; the earliest one on equal rates."""
     cohort = F.date_format("Cohort", "yyyy-MM")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import cleaning, features, summaries
+from tidemark.operators import cleaning, features, group_quantiles, summaries, temporal
 from tidemark.plans import churn, cohorts, reports, revenue, risk, segments, sql_queries
 from tidemark.sources import adapters, readers, sinks
 from tidemark.sources.staging import new_folder, staged
@@ -26,6 +26,7 @@ REGISTRY: dict[str, Query] = {}
 MONEY = {"TotalMRR", "Revenue", "LatestMRR", "MRR", "Seats"}
 HAIR = 1e-9
 AS_OF = date(2002, 1, 1)
+QUARTILES = {"Q1": 0.25, "Median": 0.5, "Q3": 0.75}
 PLANS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -115,6 +116,22 @@ def parse_numeric(spark, folder):
     return orders.select("o_orderkey", readers.try_parse_number("text").alias("MRR"))
 
 
+@query("load_rejects")
+def load_rejects(spark, folder):
+    """Orders written as CSV, some dates and prices bad, loaded with the bad rows set aside."""
+    price = F.when(F.col("o_orderkey") % 37 == 0, "n.a.").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    orders = adapters.source(spark, folder, "orders")
+    text = orders.select(F.col("o_orderkey").cast("string").alias("Key"), _date_text().alias("Day"), price.alias("Price"))
+    path = new_folder(spark, "csv") + "/orders"
+    sinks.write_report(text, path, "csv")
+    kinds = zip(text.columns, (T.LongType(), T.DateType(), T.DoubleType()))
+    loaded = readers.load_with_rejects(spark, path, T.StructType([T.StructField(n, k) for n, k in kinds]))
+    good = loaded.accepted.select("Key", "Day", F.col("Price").alias("MRR"), F.lit(None).cast("string").alias("Reasons"))
+    none = [F.lit(None).cast(k).alias(n) for n, k in (("Day", "date"), ("MRR", "double"))]
+    counts = [F.lit(loaded.counts[c]).cast("long").alias(f"{c.title()}Rows") for c in ("accepted", "rejected")]
+    return good.unionByName(loaded.rejected.select(F.col("Key").cast("long"), *none, "Reasons")).select("*", *counts)
+
+
 @query("report_tables")
 def report_tables(spark, folder):
     """The workbook's report set written as one folder per table, and the rows read back from each."""
@@ -290,6 +307,50 @@ def churn_welch_ttest(spark, folder):
     return churn.churn_welch_t_test(_subscriptions(spark, folder), adapters.usage(spark, folder))
 
 
+@query("quartiles_by_industry")
+def quartiles_by_industry(spark, folder):
+    industry = _customers(spark, folder).select("CustomerID", "Industry")
+    rows = staged(_subscriptions(spark, folder).select("CustomerID", "MRR").join(industry, "CustomerID", "left"), "mrr")
+    return group_quantiles.group_quantiles(rows, "Industry", "MRR", QUARTILES)
+
+
+@query("quartiles_by_customer")
+def quartiles_by_customer(spark, folder):
+    rows = staged(_subscriptions(spark, folder).select("CustomerID", "MRR"), "mrr")
+    return group_quantiles.group_quantiles(rows, "CustomerID", "MRR", QUARTILES)
+
+
+# --- by time ----------------------------------------------------------------------------------
+
+
+STATE = ["SubscriptionID", "PlanName", "Status"]
+
+
+@query("plan_at_usage")
+def plan_at_usage(spark, folder):
+    """Plan and status in force at each usage row."""
+    usage, subscriptions = adapters.usage(spark, folder), _subscriptions(spark, folder)
+    return temporal.as_of_join(usage, subscriptions, "CustomerID", "Month", "StartDate", "SubscriptionID", STATE)
+
+
+@query("plan_at_shipment")
+def plan_at_shipment(spark, folder):
+    """Plan and status in force when a customer was shipped something; histories are cut into short segments."""
+    orders = adapters.source(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("CustomerID"))
+    items = adapters.source(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    shipped = items.select("CustomerID", "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("Shipped"))
+    subscriptions = _subscriptions(spark, folder)
+    return temporal.as_of_join(
+        shipped, subscriptions, "CustomerID", "Shipped", "StartDate", "SubscriptionID", STATE, segment_rows=40
+    )
+
+
+@query("active_by_day", money=frozenset({"Amount"}))
+def active_by_day(spark, folder):
+    """Active subscriptions and their revenue on each day."""
+    return temporal.active_by_day(_subscriptions(spark, folder), "StartDate", "EndDate", "MRR")
+
+
 # --- risk -------------------------------------------------------------------------------------
 
 
@@ -346,6 +407,25 @@ def cohort_best_worst(spark, folder):
     return cohorts.best_and_worst_cohort(cohorts.cohort_retention(*_cohort_inputs(spark, folder)))
 
 
+@query("approx_active_customers")
+def approx_active_customers(spark, folder):
+    """Active customers per month number: exact, whether the estimate from stored sketches is within 3 %, and whether
+    the sketches of two halves of the customers merge to that of the whole."""
+    customers, activity = _cohort_inputs(spark, folder)
+    whole = staged(cohorts.activity_sketches(customers, activity), "sketches")
+    halves = [
+        cohorts.activity_sketches(customers, activity.filter(F.abs(F.xxhash64("CustomerID")) % 2 == i)) for i in (0, 1)
+    ]
+    exact = cohorts.retention_curve(customers, activity).select("MonthNo", "ActiveCustomers")
+    estimated = cohorts.approximate_curve(whole).select("MonthNo", F.col("ActiveCustomers").alias("whole"))
+    joined = cohorts.approximate_curve(halves[0].unionByName(halves[1]))
+    joined = joined.select("MonthNo", F.col("ActiveCustomers").alias("halves"))
+    close = F.abs(F.col("whole") - F.col("ActiveCustomers")) <= 0.03 * F.col("ActiveCustomers")
+    agree = F.col("whole") == F.col("halves")
+    both = exact.join(estimated, "MonthNo", "left").join(joined, "MonthNo", "left")
+    return both.select("MonthNo", "ActiveCustomers", close.alias("Within3Percent"), agree.alias("HalvesAgree"))
+
+
 # --- churn ------------------------------------------------------------------------------------
 
 
