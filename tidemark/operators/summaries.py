@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.gram import correlations
 from tidemark.operators.quantiles import exact_quantiles
 
 
@@ -92,15 +93,12 @@ def describe(metrics: list[tuple[DataFrame, list[str]]]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlations, one row and one column per metric; rows with either value missing left out.
 
-    Each row is repeated once per metric and folded by metric in the same task, so the aggregate holds
-    one correlation per column instead of one per pair and stays small enough for generated code.
+    The rows are read once, and none is repeated; a metric that does not vary has no correlations.
     """
-    values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    one = F.explode(F.array(*[F.struct(F.lit(c).alias("Metric"), F.col(c).alias("x")) for c in columns]))
-    return (
-        values.select("*", one.alias("one"))
-        .groupBy(F.col("one.Metric").alias("Metric"))
-        .agg(*[F.corr("one.x", c).alias(c) for c in columns])
+    pairs = correlations(df, columns)
+    metric = F.get(F.array(*[F.lit(c) for c in columns]), F.col("a"))
+    return pairs.groupBy(metric.alias("Metric")).agg(
+        *[F.max(F.when(F.col("b") == i, F.col("r"))).alias(c) for i, c in enumerate(columns)]
     )
 
 

@@ -496,7 +496,8 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     "segment_checks": (
         "segment_base",
         """SELECT count(*) AS Customers, round(sum(MRR), 2) AS TotalMRR, CAST(0 AS BIGINT) AS NotNearest,
-               true AS CostAgrees, true AS CostFalls FROM segment_base""",
+               true AS CostAgrees, true AS CostFalls, true AS CentresAreMeans, CAST(4 AS BIGINT) AS Segments,
+               count(*) AS SummaryCustomers, round(sum(MRR), 2) AS SummaryMRR, true AS NamesFollowMeans FROM segment_base""",
     ),
     # statistics
     "metric_stats": (
@@ -817,6 +818,39 @@ SELECT CAST(MonthNo AS INTEGER) AS MonthNo, count(DISTINCT CustomerID) AS Active
     TRUE AS HalvesAgree
 FROM months WHERE MonthNo >= 0 GROUP BY ALL""",
     ),
+    # runs and streams
+    "run_difference": (
+        "subscriptions",
+        """, before AS (
+    SELECT SubscriptionID, CustomerID, PlanName, MRR, Status FROM subscriptions
+), raised AS (
+    SELECT * REPLACE (CASE WHEN SubscriptionID % 89 = 0 THEN MRR + 1 ELSE MRR END AS MRR) FROM before
+), after AS (
+    SELECT * FROM raised WHERE SubscriptionID % 97 <> 0
+    UNION ALL SELECT * FROM raised WHERE SubscriptionID % 101 = 0
+    UNION ALL SELECT * REPLACE (SubscriptionID + 1000000000 AS SubscriptionID) FROM before WHERE SubscriptionID % 103 = 0
+), gone AS (
+    SELECT * FROM before EXCEPT ALL SELECT * FROM after
+), come AS (
+    SELECT * FROM after EXCEPT ALL SELECT * FROM before
+), both_sides AS (
+    SELECT *, CASE WHEN SubscriptionID IN (SELECT SubscriptionID FROM come) THEN 'changed from' ELSE 'removed' END AS Change
+    FROM gone
+    UNION ALL SELECT *, CASE WHEN SubscriptionID IN (SELECT SubscriptionID FROM gone) THEN 'changed to' ELSE 'added' END
+    FROM come
+)
+SELECT SubscriptionID, CustomerID, PlanName, round(MRR, 2) AS MRR, Status, Change, count(*) AS Copies
+FROM both_sides GROUP BY ALL""",
+    ),
+    "streamed_latest": (
+        "subscriptions",
+        """SELECT CustomerID, SubscriptionID, PlanName, round(MRR, 2) AS MRR, StartDate, Status FROM subscriptions
+           QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY StartDate DESC NULLS FIRST, SubscriptionID DESC) = 1""",
+    ),
+    "streamed_usage": (
+        "usage",
+        "SELECT CustomerID, Month, Logins, APICalls, round(SessionMinutes, 6) AS SessionMinutes FROM usage",
+    ),
     # SQL reports
     "sql_customer_revenue": (
         "customers subscriptions",

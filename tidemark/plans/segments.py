@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import math
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import KEY
+from tidemark.operators.lloyd import Fit, fit_all
 from tidemark.operators.summaries import standardised
 from tidemark.sources.staging import staged
 
 FEATURES = ["MRR", "Seats", "Logins", "ActiveUsers", "SessionMinutes", "SatisfactionScore"]
-#: A fit ends when the squared moves of all centres (in standard deviations) sum to at most this; with k centres none
-#: has then moved by more than the square root of a k-th of it, which is the rule that a Spark fit is given.
+#: A fit ends when the squared moves of all centres (in standard deviations) sum to at most this.
 SQUARED_SHIFT = 1e-4
 
 # The segment names.
@@ -26,46 +20,35 @@ HIGH_VALUE, GROWING, LOW, SUPPORT = "High Value", "Growing Users", "Low Engageme
 
 
 def vectors(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Features, staged in even partitions, with their standardised vector."""
+    """Features, staged in even partitions, with their standardised vector (an array)."""
     columns = columns or FEATURES
     scaled = standardised(staged(features.hint("rebalance"), "features"), columns)
-    assembler = VectorAssembler(inputCols=[f"{c}Scaled" for c in columns], outputCol="vector")
-    return assembler.transform(scaled).select(KEY, *columns, "vector")
-
+    return staged(scaled.select(KEY, *columns, F.array(*[f"{c}Scaled" for c in columns]).alias("vector")), "vectors")
 
-def best_fits(
-    points: DataFrame, ks: list[int], restarts: int = 10, seed: int = 42, parallelism: int = 8
-) -> dict[int, KMeansModel]:
-    """For each number of clusters, the model with the lowest cost over several starts.
 
-    The fits run side by side on one cached copy of the vectors, and end by ``SQUARED_SHIFT``.
-    """
-    cached = points.select("vector").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(task: tuple[int, int]) -> KMeansModel:
-        k, start = task
-        return KMeans(featuresCol="vector", k=k, seed=start, maxIter=300, tol=math.sqrt(SQUARED_SHIFT / k)).fit(cached)
-
-    tasks = [(k, seed + i) for k in ks for i in range(restarts)]
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = list(pool.map(fit, tasks))
-    finally:
-        cached.unpersist()
-    best: dict[int, KMeansModel] = {}
-    for (k, _), model in zip(tasks, models):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
+def best_fits(points: DataFrame, ks: list[int], restarts: int = 10, seed: int = 42) -> dict[int, Fit]:
+    """For each number of clusters, the fit with the lowest cost over several starts. All fits share their passes."""
+    best: dict[int, Fit] = {}
+    for (k, _), fit in sorted(fit_all(points, "vector", KEY, ks, restarts, seed, SQUARED_SHIFT).items()):
+        if k not in best or fit.cost < best[k].cost:
+            best[k] = fit
+    if not best:
+        raise ValueError("there are no customers to cluster")
     return best
 
 
 def elbow_cost(
-    points: DataFrame, ks: range = range(2, 7), restarts: int = 10, fits: dict[int, KMeansModel] | None = None
+    points: DataFrame, ks: range = range(2, 7), restarts: int = 10, fits: dict[int, Fit] | None = None
 ) -> DataFrame:
     """Lowest cost for each number of clusters, of ``fits`` if they are at hand."""
     fits = fits or best_fits(points, list(ks), restarts)
-    costs = [(k, float(fits[k].summary.trainingCost)) for k in ks]
-    return points.sparkSession.createDataFrame(costs, "K int, Cost double")
+    return points.sparkSession.createDataFrame([(k, fits[k].cost) for k in ks], "K int, Cost double")
+
+
+def squared_distances(centres: np.ndarray, vector: str = "vector") -> Column:
+    """Array of the squared distances from a vector to each centre."""
+    place = F.col(vector)
+    return F.array(*[sum((place[i] - F.lit(float(c))) ** 2 for i, c in enumerate(centre)) for centre in centres])
 
 
 def label(column: Column, names: dict[int, str]) -> Column:
@@ -74,14 +57,14 @@ def label(column: Column, names: dict[int, str]) -> Column:
     return F.create_map(*entries)[column]
 
 
-def names_by_centre(model: KMeansModel, columns: list[str] | None = None) -> dict[int, str]:
+def names_by_centre(fit: Fit, columns: list[str] | None = None) -> dict[int, str]:
     """Name four clusters by what their centres show; cluster numbers themselves mean nothing.
 
     Highest revenue is High Value; of the others the least satisfied is Support Heavy, and of the
     last two the one with more logins is Growing Users and the other Low Engagement.
     """
     columns = columns or FEATURES
-    centres = [dict(zip(columns, centre)) for centre in model.clusterCenters()]
+    centres = [dict(zip(columns, centre)) for centre in fit.centres]
     left = list(range(len(centres)))
     names = {}
     for name, pick in (
@@ -105,14 +88,15 @@ def segments(
     return segments_of(points, best_fits(points, [4], restarts, seed)[4], names)
 
 
-def segments_of(points: DataFrame, model: KMeansModel, names: dict[int, str] | None = None) -> DataFrame:
-    """As ``segments``, from vectors and a model at hand."""
-    names = names or names_by_centre(model)
+def segments_of(points: DataFrame, fit: Fit, names: dict[int, str] | None = None) -> DataFrame:
+    """As ``segments``, from vectors and a fit at hand; of equally near centres the first counts."""
+    names = names or names_by_centre(fit)
+    apart = squared_distances(fit.centres)
     return (
-        model.transform(points)
-        .withColumnRenamed("prediction", "Cluster")
+        points.withColumn("_apart", apart)
+        .withColumn("Cluster", (F.array_position("_apart", F.array_min("_apart")) - 1).cast("int"))
         .withColumn("Segment", label(F.col("Cluster"), names))
-        .drop("vector")
+        .drop("vector", "_apart")
     )
 
 
@@ -129,19 +113,41 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
 
 
 def checks(features: DataFrame, ks: range = range(2, 7), restarts: int = 10) -> DataFrame:
-    """One row of what must hold for the clusters, whichever they are."""
+    """One row of what must hold for the clusters, their names and their summary, whichever they are."""
     points = vectors(features)
     fits = best_fits(points, list(ks), restarts)
-    model, costs = fits[4], [fits[k].summary.trainingCost for k in ks]
-    place = vector_to_array("vector")
-    apart = [sum((place[i] - F.lit(float(c))) ** 2 for i, c in enumerate(centre)) for centre in model.clusterCenters()]
-    found = model.transform(points).withColumns({"_apart": F.array(*apart)})
-    own = F.col("_apart")[F.col("prediction")]
-    cost = F.lit(float(model.summary.trainingCost))
-    return found.agg(
+    fit, costs = fits[4], [fits[k].cost for k in ks]
+    segmented = staged(segments_of(points, fit).join(points.select(KEY, "vector"), KEY), "segments")
+    apart = squared_distances(fit.centres)
+    own = F.get(apart, F.col("Cluster"))
+    whole = segmented.agg(
         F.count(KEY).alias("Customers"),
         F.sum("MRR").alias("TotalMRR"),
-        F.count_if(own > F.array_min("_apart") * (1 + 1e-9) + 1e-9).alias("NotNearest"),
-        (F.abs(F.sum(own) - cost) <= 1e-6 * cost).alias("CostAgrees"),
+        F.count_if(own > F.array_min(apart) * (1 + 1e-9) + 1e-9).alias("NotNearest"),
+        (F.abs(F.sum(own) - F.lit(fit.cost)) <= 1e-6 * F.lit(fit.cost)).alias("CostAgrees"),
         F.lit(all(b <= a for a, b in zip(costs, costs[1:]))).alias("CostFalls"),
     )
+    # A settled centre is the mean of its members, up to the moves that end a fit.
+    means = segmented.groupBy("Cluster").agg(*[F.avg(F.col("vector")[i]).alias(f"m{i}") for i in range(len(FEATURES))])
+    centre = F.get(F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in fit.centres]), F.col("Cluster"))
+    off = means.agg((F.sum(sum((F.col(f"m{i}") - centre[i]) ** 2 for i in range(len(FEATURES)))) <= SQUARED_SHIFT).alias("CentresAreMeans"))
+    summary = staged(segment_summary(segmented), "summary")
+    totals = summary.agg(
+        F.count(F.lit(1)).alias("Segments"),
+        F.sum("Customers").alias("SummaryCustomers"),
+        F.sum(F.col("Customers") * F.col("AvgMRR")).alias("SummaryMRR"),
+    )
+    by_name = segmented.groupBy("Segment").agg(*[F.avg(c).alias(c) for c in ("MRR", "Logins", "SatisfactionScore")])
+    value = lambda name, column: F.max(F.when(F.col("Segment") == name, F.col(column)))
+    least = F.min(F.when(F.col("Segment") != HIGH_VALUE, F.col("SatisfactionScore")))
+    names = by_name.agg(
+        (
+            (value(HIGH_VALUE, "MRR") >= F.max("MRR"))
+            & (value(SUPPORT, "SatisfactionScore") <= least)
+            & (value(GROWING, "Logins") >= value(LOW, "Logins"))
+        ).alias("NamesFollowMeans")
+    )
+    one = points.sparkSession.range(1)
+    rows = [df.select(F.struct("*").alias("r")).scalar() for df in (whole, off, totals, names)]
+    fields = [df.columns for df in (whole, off, totals, names)]
+    return one.select(*[row[c].alias(c) for row, columns in zip(rows, fields) for c in columns])

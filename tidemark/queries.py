@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import cleaning, features, group_quantiles, summaries, temporal
+from tidemark.operators import cleaning, difference, features, group_quantiles, summaries, temporal
+from tidemark.operators.latest import missing_last
 from tidemark.plans import churn, cohorts, reports, revenue, risk, segments, sql_queries
 from tidemark.sources import adapters, readers, sinks
 from tidemark.sources.staging import new_folder, staged
+from tidemark.streaming import upkeep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -351,6 +353,60 @@ def active_by_day(spark, folder):
     return temporal.active_by_day(_subscriptions(spark, folder), "StartDate", "EndDate", "MRR")
 
 
+# --- runs and streams -------------------------------------------------------------------------
+
+
+@query("run_difference")
+def run_difference(spark, folder):
+    """What a second run of the subscriptions, some of them dropped, new, changed or doubled, has more and less."""
+    number = F.col("SubscriptionID")
+    before = _subscriptions(spark, folder).select("SubscriptionID", "CustomerID", "PlanName", "MRR", "Status")
+    raised = before.withColumn("MRR", F.when(number % 89 == 0, F.col("MRR") + 1).otherwise(F.col("MRR")))
+    new = before.filter(number % 103 == 0).withColumn("SubscriptionID", number + 1_000_000_000)
+    after = raised.filter(number % 97 != 0).unionByName(raised.filter(number % 101 == 0)).unionByName(new)
+    return difference.table_difference(before, after, "SubscriptionID", F.floor(number / 1000))
+
+
+def _in_slices(df, slice_no, path, again):
+    """Write a table to ``path`` slice by slice, two files each, then slice ``again`` once more; yields in between."""
+    for turn in (range(5), [again]):
+        for i in turn:
+            df.filter(slice_no == i).repartition(2).write.mode("append").parquet(path)
+        yield
+
+
+@query("streamed_latest")
+def streamed_latest(spark, folder):
+    """The newest subscription of each customer, kept up to date while the subscriptions arrive in five slices and one
+    of those arrives again."""
+    columns = ["SubscriptionID", "PlanName", "MRR", "StartDate", "Status"]
+    rows = _subscriptions(spark, folder).select("CustomerID", *columns)
+    base = new_folder(spark, "stream")
+    for _ in _in_slices(rows, F.col("SubscriptionID") % 5, f"{base}/in", 3):
+        stream = upkeep.file_stream(spark, f"{base}/in", rows.schema, 2)
+        order = missing_last("StartDate", "SubscriptionID")
+        upkeep.keep_latest(stream, f"{base}/out", f"{base}/state", "CustomerID", order, columns).awaitTermination()
+    return upkeep.latest(spark, f"{base}/out", "CustomerID")
+
+
+@query("streamed_usage")
+def streamed_usage(spark, folder):
+    """Usage per customer and day, kept up to date while the events arrive in five slices of days and one of those
+    arrives again."""
+    events = adapters.source(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = events.select("event_id", "ts", "user_id", "event_type", "value")
+    base = new_folder(spark, "stream")
+    of_type = lambda name: F.count(F.when(F.col("event_type") == name, 1))
+    by = {"CustomerID": F.col("user_id"), "Month": F.col("ts").cast("date")}
+    sums = {"Logins": of_type("view"), "APICalls": F.count(F.lit(1)), "SessionMinutes": F.sum("value")}
+    for _ in _in_slices(events, F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(4)), f"{base}/in", 4):
+        stream = upkeep.file_stream(spark, f"{base}/in", events.schema, 2)
+        upkeep.keep_totals(
+            stream, f"{base}/out", f"{base}/state", "event_id", "ts", "2 days", by, sums
+        ).awaitTermination()
+    return upkeep.totals(spark, f"{base}/out", list(by))
+
+
 # --- risk -------------------------------------------------------------------------------------
 
 
@@ -555,7 +611,7 @@ def segment_summary(spark, folder):
     return segments.segment_summary(segments.segments(features.segment_features(*_children(spark, folder))))
 
 
-@query("segment_checks", money=frozenset(MONEY | {"MeanMRR"}))
+@query("segment_checks", money=frozenset(MONEY | {"SummaryMRR"}))
 def segment_checks(spark, folder):
     """What must hold whatever the clusters are: every customer has one segment, and the segments' sizes and revenue add
     up to those of their customers; a customer's centre is the nearest; the cost does not rise with more clusters."""
