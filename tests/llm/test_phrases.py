@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -121,14 +122,12 @@ def test_full_tries_spill(llm, monkeypatch):
 
 
 def _batch(rows, names):
-    import pyarrow as pa
-
     return iter([pa.RecordBatch.from_pylist([{n: r[n] for n in names} for r in rows])] if rows else [])
 
 
 def _merge(function, rows):
-    runs = sorted((r for r in rows if r["part"] is not None), key=lambda r: (r["part"], r["lang"] or "", r["chunk"]))
-    return [r for b in function(_batch(runs, ("part", "lang", "chunk", "data"))) for r in b.to_pylist()]
+    runs = sorted((r for r in rows if r["part"] is not None), key=lambda r: (r["part"], r["chunk"]))
+    return [r for b in function(_batch(runs, ("part", "chunk", "data"))) for r in b.to_pylist()]
 
 
 def _extend(level, rows, merged):

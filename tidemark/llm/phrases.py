@@ -39,10 +39,12 @@ LEAST = 100
 TOP = 2000
 #: Bytes of text of a chunk, and words of a block of it, about.
 CHUNK_BYTES = 32 << 20
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
 #: Phrases of a hash container before it bursts, and of a whole trie before subtrees are spilled.
 BURST = 4096
-KEPT = 1_000_000
+KEPT = 400_000
+#: Bytes of a batch that a task hands over, about.
+BATCH_BYTES = 1 << 21
 #: Partitions over which the phrases of one prefix are dealt.
 SPLIT = 64
 
@@ -146,49 +148,62 @@ _CHUNKS = "chunk long, place int, part int, lang string, data binary, n long"
 _KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.int64()]
 
 
-def _rows(rows: list[tuple], schema: str, kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+def _batches(rows: Iterator[tuple], schema: str, kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of about ``BATCH_BYTES``; their data is the column ``data``."""
     names = [c.split()[0] for c in schema.split(", ")]
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+    at, held, size = names.index("data"), [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + len(row[at] or b"")
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
 
 def _word_chunks(parts: int):
-    """Texts to blocks of word numbers, and the words of each chunk as sorted runs."""
+    """Texts to blocks of word numbers, and the words of each chunk (after their language) as sorted runs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         task, made = TaskContext.get().partitionId(), 0
         words: dict[str, Words] = {}
         block: list[np.ndarray] = []
         counts = np.zeros(0, np.int64)
         numbers, held, waiting, place = count(1), 0, 0, 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush() -> Iterator[tuple]:
             nonlocal block, waiting, counts, place
             if waiting:
                 flat = np.concatenate(block)
                 seen = np.bincount(flat, minlength=len(counts))
                 seen[: len(counts)] += counts
                 counts = seen
-                yield from _rows([(task << 32 | made, place, None, None, pack(flat), None)], _CHUNKS, _KINDS)
+                yield task << 32 | made, place, None, None, pack(flat), None
                 block, waiting, place = [], 0, place + 1
 
-        def close() -> Iterator[pa.RecordBatch]:
+        def close() -> Iterator[tuple]:
             nonlocal words, counts, numbers, held, place, made
             yield from flush()
+            chunk = task << 32 | made
+            names: list[bytes] = []
+            number: list[int] = []
             for lang, known in words.items():
                 del known[b"\n"]
-                of = np.array(sorted(known), object)
-                number = np.fromiter((known[w] for w in of), np.int64, len(of))
-                chunk = task << 32 | made
-                yield from _rows([(chunk, None, None, lang, None, int(counts[number].sum()))], _CHUNKS, _KINDS)
-                part = np.fromiter((zlib.crc32(w) % parts for w in of), np.int64, len(of))
-                turn = np.argsort(part, kind="stable")
-                for p, at in _groups(part[turn]):
-                    mine = turn[at]
-                    data = np.frombuffer(b"".join(of[mine]), np.uint8)
-                    lengths = np.fromiter(map(len, of[mine]), np.int64, len(mine))
-                    packed = pack(data, lengths, counts[number[mine]], number[mine])
-                    yield from _rows([(chunk, None, int(p), lang, packed, None)], _CHUNKS, _KINDS)
+                prefix = lang.encode() + b"\n"
+                names += [prefix + w for w in known]
+                number += known.values()
+                yield chunk, None, None, lang, None, int(counts[list(known.values())].sum())
+            part = np.fromiter((zlib.crc32(name) % parts for name in names), np.int64, len(names))
+            turn = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)
+            turn = turn[np.argsort(part[turn], kind="stable")]
+            local = np.array(number, np.int64)
+            for p, at in _groups(part[turn]):
+                mine = turn[at]
+                run = [names[i] for i in mine.tolist()]
+                lengths = np.fromiter(map(len, run), np.int64, len(run))
+                packed = pack(np.frombuffer(b"".join(run), np.uint8), lengths, counts[local[mine]], local[mine])
+                yield chunk, None, p, None, packed, None
             words, counts, numbers, held, place, made = {}, np.zeros(0, np.int64), count(1), 0, 0, made + 1
 
         for batch in tables.slices(batches):
@@ -209,7 +224,7 @@ def _word_chunks(parts: int):
                 yield from close()
         yield from close()
 
-    return run
+    return lambda batches: _batches(rows(batches), _CHUNKS, _KINDS)
 
 
 def _groups(ordered: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -232,10 +247,10 @@ def closed_up(sequence: np.ndarray) -> np.ndarray:
 def _extend(level: int, parts: int):
     """Chunks of frequent phrases of ``level`` words from chunks one level below and what came back; runs above."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         names = ("chunk", "place", "data")
-        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names)))
-        for chunk, group in groupby(rows, itemgetter(0)):
+        found = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names)))
+        for chunk, group in groupby(found, itemgetter(0)):
             head, back, trie = None, [], None
             for _, place, data in group:
                 if place == -2:
@@ -246,24 +261,24 @@ def _extend(level: int, parts: int):
                     if trie is None:
                         numbered = _renumbered(head, back, level)
                         numbers, words = numbered.numbers, numbered.words
-                        yield from _rows([(chunk, -2, None, None, pack(numbers, words.ravel()), None)], _CHUNKS, _KINDS)
+                        yield chunk, -2, None, None, pack(numbers, words.ravel()), None
                         trie = HatTrie(lambda codes: np.column_stack([words[codes >> 32], words[codes & 0xFFFFFFFF, -1]]))
                     sequence = closed_up(numbered.sequence(unpack(data)[0]))
                     if len(sequence) < 2:
                         continue
-                    yield from _rows([(chunk, place, None, None, pack(sequence), None)], _CHUNKS, _KINDS)
+                    yield chunk, place, None, None, pack(sequence), None
                     left, right = sequence[:-1].astype(np.int64), sequence[1:].astype(np.int64)
                     codes = (((left - 1) << 32) | (right - 1))[(left > 0) & (right > 0)]
                     trie.add(*np.unique(codes, return_counts=True))
                     if trie.size > KEPT:
-                        yield from _rows(_runs(chunk, numbers, *trie.take(KEPT // 2), parts), _CHUNKS, _KINDS)
+                        yield from _runs(chunk, numbers, *trie.take(KEPT // 2), parts)
             if trie is not None and trie.size:
-                yield from _rows(_runs(chunk, numbers, *trie.take(), parts), _CHUNKS, _KINDS)
+                yield from _runs(chunk, numbers, *trie.take(), parts)
 
-    return run
+    return lambda batches: _batches(rows(batches), _CHUNKS, _KINDS)
 
 
-def _runs(chunk: int, numbers: np.ndarray, codes: np.ndarray, counts: np.ndarray, parts: int) -> list[tuple]:
+def _runs(chunk: int, numbers: np.ndarray, codes: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[tuple]:
     """Phrases by their numbers that hold everywhere, in order, one run for each prefix partition."""
     left, right = numbers[codes >> 32], numbers[codes & 0xFFFFFFFF]
     with np.errstate(over="ignore"):
@@ -271,9 +286,8 @@ def _runs(chunk: int, numbers: np.ndarray, codes: np.ndarray, counts: np.ndarray
         part = (mix(left.astype(np.uint64) * np.uint64(SPLIT) + split) % np.uint64(parts)).astype(np.int64)
     turn = np.lexsort((right, left, part))
     left, right, counts = left[turn], right[turn], counts[turn]
-    return [
-        (chunk, None, p, None, pack(left[at], right[at], counts[at]), None) for p, at in _groups(part[turn])
-    ]
+    for p, at in _groups(part[turn]):
+        yield chunk, None, p, None, pack(left[at], right[at], counts[at]), None
 
 
 class _renumbered:
@@ -315,46 +329,40 @@ _MERGED = "number long, lang string, word binary, first long, second long, n lon
 _MERGED_KINDS = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def _part_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
-    names = ("part", "lang", "chunk", "data")
-    rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names)))
-    return groupby(rows, itemgetter(0))
-
-
-def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, rows in _part_rows(batches):
-        given = 0
-        for lang, runs in groupby(rows, itemgetter(1)):
-            chunks, words, counts, locals_ = [], [], [], []
-            for _, _, chunk, data in runs:
-                raw, lengths, n, local = unpack(data)
-                offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
-                words.append(pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]))
-                counts.append(n)
-                locals_.append(local)
-                chunks.append(np.full(len(n), chunk, np.int64))
-            table = pa.table({"word": pa.concat_arrays(words), "n": pa.array(np.concatenate(counts))})
-            total = table.group_by("word", use_threads=False).aggregate([("n", "sum")])
-            total = total.filter(pc.greater_equal(total.column("n_sum"), LEAST)).sort_by("word").combine_chunks()
-            if not total.num_rows:
-                continue
-            names = total.column("word").combine_chunks()
-            numbers = (part << _INDEX_BITS) + given + np.arange(len(names), dtype=np.int64)
-            given += len(names)
-            frequent = zip(numbers.tolist(), names.to_pylist(), total.column("n_sum").to_pylist())
-            yield from _rows([(i, lang, w, None, None, n, None, None) for i, w, n in frequent], _MERGED, _MERGED_KINDS)
-            at = pc.index_in(table.column("word").combine_chunks(), names).fill_null(-1).to_numpy()
-            yield from _returned(np.concatenate(chunks), at >= 0, np.concatenate(locals_), numbers[at])
-
-
-def _merge_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, rows in _part_rows(batches):
-        pieces, chunks = [], []
-        for _, _, chunk, data in rows:
-            pieces.append(unpack(data))
-            chunks.append(np.full(len(pieces[-1][0]), chunk, np.int64))
-        left, right, n = (np.concatenate(x) for x in zip(*pieces))
-        chunk = np.concatenate(chunks)
+def _part_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, list[list[np.ndarray]]]]:
+    """Prefix partitions: their number, the chunk of each entry, and their runs."""
+    rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("part", "chunk", "data"))))
+    for part, group in groupby(rows, itemgetter(0)):
+        chunks, runs = [], []
+        for _, chunk, data in group:
+            runs.append(unpack(data))
+            chunks.append(np.full(len(runs[-1][-1]), chunk, np.int64))
+        yield part, np.concatenate(chunks), runs
+
+
+def _merged_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for part, chunk, runs in _part_runs(batches):
+        words = []
+        for data, lengths, *_ in runs:
+            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+            words.append(pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+        table = pa.table({"word": pa.concat_arrays(words), "n": pa.array(np.concatenate([r[2] for r in runs]))})
+        total = table.group_by("word", use_threads=False).aggregate([("n", "sum")])
+        total = total.filter(pc.greater_equal(total.column("n_sum"), LEAST)).sort_by("word").combine_chunks()
+        if not total.num_rows:
+            continue
+        names = total.column("word").combine_chunks()
+        numbers = (part << _INDEX_BITS) + np.arange(len(names), dtype=np.int64)
+        for i, name, n in zip(numbers.tolist(), names.to_pylist(), total.column("n_sum").to_pylist()):
+            lang, _, word = name.rpartition(b"\n")
+            yield i, lang.decode(), word, None, None, n, None, None
+        at = pc.index_in(table.column("word").combine_chunks(), names).fill_null(-1).to_numpy()
+        yield from _returned(chunk, at >= 0, np.concatenate([r[3] for r in runs]), numbers[at])
+
+
+def _merged_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for part, chunk, runs in _part_runs(batches):
+        left, right, n = (np.concatenate(x) for x in zip(*runs))
         turn = np.lexsort((right, left))
         left, right, n, chunk = left[turn], right[turn], n[turn], chunk[turn]
         new = np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
@@ -363,18 +371,25 @@ def _merge_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         frequent = total >= LEAST
         numbers = (part << _INDEX_BITS) + np.cumsum(frequent) - 1
         kept = [x[frequent].tolist() for x in (numbers, left[starts], right[starts], total)]
-        yield from _rows([(i, None, None, a, b, t, None, None) for i, a, b, t in zip(*kept)], _MERGED, _MERGED_KINDS)
+        for i, first, second, count_ in zip(*kept):
+            yield i, None, None, first, second, count_, None, None
         yield from _returned(chunk, frequent[group], left, right, numbers[group])
 
 
-def _returned(chunk: np.ndarray, keep: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _returned(chunk: np.ndarray, keep: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
     """One row to each chunk with the kept entries of the columns."""
     chunk, columns = chunk[keep], [c[keep] for c in columns]
     turn = np.argsort(chunk, kind="stable")
-    rows = [
-        (None, None, None, None, None, None, c, pack(*(x[turn[at]] for x in columns))) for c, at in _groups(chunk[turn])
-    ]
-    yield from _rows(rows, _MERGED, _MERGED_KINDS)
+    for c, at in _groups(chunk[turn]):
+        yield None, None, None, None, None, None, c, pack(*(x[turn[at]] for x in columns))
+
+
+def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _batches(_merged_words(batches), _MERGED, _MERGED_KINDS)
+
+
+def _merge_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _batches(_merged_phrases(batches), _MERGED, _MERGED_KINDS)
 
 
 # --- Spark --------------------------------------------------------------------------------------
@@ -386,16 +401,17 @@ def frequent_phrases(docs: DataFrame, staging: tables.Staging) -> tuple[list[Dat
     Each phrase has its ``number``, its count ``n`` and, beyond single words (``lang``, ``word``), the numbers of the
     phrases without its last word (``first``) and without its first one (``second``).
     """
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(
         F.coalesce(F.col("`lang`").cast("string"), F.lit("und")).alias("lang"), F.col("`text`").cast("binary").alias("text")
     )
     chunks = staging.put(texts.mapInArrow(_word_chunks(parts), _CHUNKS), "level0", codec="lz4")
     totals = chunks.filter("n is not null").groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = staging.put(totals, "totals")
     found = []
     for level in range(1, LONGEST + 1):
-        runs = chunks.filter("part is not null").select("part", "lang", "chunk", "data")
-        runs = runs.repartition("part").sortWithinPartitions("part", "lang", "chunk")
+        runs = chunks.filter("part is not null").select("part", "chunk", "data")
+        runs = runs.repartition("part").sortWithinPartitions("part", "chunk")
         merge = _merge_words if level == 1 else _merge_phrases
         merged = staging.put(runs.mapInArrow(merge, _MERGED), f"merged{level}")
         found.append(merged.filter("number is not null"))
@@ -405,8 +421,7 @@ def frequent_phrases(docs: DataFrame, staging: tables.Staging) -> tuple[list[Dat
         blocks = chunks.filter("place is not null").select("chunk", "place", "data")
         together = blocks.unionByName(back).repartition("chunk").sortWithinPartitions("chunk", "place")
         chunks = staging.put(together.mapInArrow(_extend(level, parts), _CHUNKS), f"level{level}", codec="lz4")
-        if level > 1:
-            staging.release(f"level{level - 1}")
+        staging.release(f"level{level - 1}")
     return found, totals
 
 
