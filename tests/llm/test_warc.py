@@ -77,3 +77,15 @@ def test_false_members_are_passed_over(llm, tmp_path):
     manifest = llm.createDataFrame([(str(tmp_path / "a.warc.gz"), size, 2)], warc.MANIFEST)
     for step in (10, 64, 1 << 20):
         assert [bytes(r["payload"]) for r in warc.read_archives(manifest, step).collect()] == [b"one", b"one"]
+
+
+def test_ranges_are_read_by_as_many_tasks(llm, tmp_path):
+    records = warc.plan_records(pages(llm, ROWS).coalesce(1))
+    manifest = llm.createDataFrame(warc.write_archives(records, str(tmp_path)).collect(), warc.MANIFEST)
+    n = sum(-(-r["size"] // 9000) for r in manifest.collect())
+    assert n > 4 and llm.conf.get("spark.sql.adaptive.enabled") == "true"
+    for most, expected in ((10_000, n), (3, 3)):
+        read = warc.read_archives(manifest, 9000, most)
+        assert read.rdd.getNumPartitions() == expected  # of the plan as it ran
+        busy = read.selectExpr("spark_partition_id() AS p").distinct().count()
+        assert read.count() == len(ROWS) and busy > 1

@@ -30,6 +30,8 @@ REVISIT_BYTES = 1000
 #: Compressed bytes of an archive file, about, and of the range of one reading task.
 FILE_BYTES = 256 << 20
 RANGE_BYTES = 8 << 20
+#: Tasks that read ranges, at most.
+READ_TASKS = 10_000
 _CHUNK = 1 << 18
 # Fixed values of the formats.
 _MAGIC = b"\x1f\x8b\x08"
@@ -199,8 +201,13 @@ def _page(value: str | None) -> int | None:
     return int(number) if number else None
 
 
-def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """All records of the files that ``manifest`` names, from byte ranges read side by side."""
+def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, tasks: int = READ_TASKS) -> DataFrame:
+    """All records of the files that ``manifest`` names, from byte ranges read side by side.
+
+    There are as many tasks as ranges, up to ``tasks``. Their number is taken from the manifest (one row per file: pass
+    a staged one) and given to Spark, which else would put the small rows that name the ranges together in one task.
+    """
+    n_ranges = manifest.agg(F.sum(F.ceil(F.col("size") / range_bytes))).first()[0] or 0
     starts = F.explode(F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(range_bytes)))
     ranges = manifest.filter("size > 0").select("path", "size", starts.alias("start"))
 
@@ -239,8 +246,7 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                 if rows:
                     yield batch_of(rows)
 
-    # A row is a range to read: dealt out one by one, as many tasks as ranges up to the shuffle partitions.
-    return ranges.repartition("path", "start").mapInArrow(run, RECORDS)
+    return ranges.repartition(max(1, min(int(n_ranges), tasks))).mapInArrow(run, RECORDS)
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:
