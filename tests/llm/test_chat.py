@@ -81,3 +81,36 @@ def test_query_equals_brute_force(llm, folder):
     found = chat.op7_chat_formatting(llm, folder(conversations=df)).collect()
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, brute(rows)))
     assert chat.op7_chat_formatting(llm, folder(conversations=df.limit(0))).count() == 1
+
+
+def test_null_ids_only(llm, folder):
+    df = llm.createDataFrame([(None, 0, "user", "hello")], "conv_id long, turn long, role string, text string")
+    found = chat.op7_chat_formatting(llm, folder(conversations=df)).collect()
+    assert sorted((r["conv_id"] is None, r["n_turns"]) for r in found) == [(False, 2), (True, 1)]
+    back = chat.read_back(chat.format_turns(df)).collect()
+    assert [(r["conv_id"], r["n_turns"]) for r in back] == [(None, 1)]
+
+
+def test_bad_records_are_one_row_with_a_reason(llm):
+    messages = lambda item: json.dumps({"messages": [{"role": "user", "content": "q"}, item]})
+    row = lambda turn, text="t": json.dumps({"turn": turn, "role": "user", "text": text})
+    bad = {
+        1: (messages("text"), "item 1 of messages has no fields"),
+        2: (messages(None), "item 1 of messages has no fields"),
+        3: (row("first"), "turn is no 64-bit number"),
+        4: (row(1 << 63), "turn is no 64-bit number"),
+        5: (row(0, "\ud800"), "lone surrogate"),
+        6: ("[" * 100_000, "nested too deeply"),
+        7: ('{"a":' * 5000 + "1" + "}" * 5000, "nested too deeply"),
+        8: ("{", "no JSON"),
+        9: ("[]", "no record"),
+        10: (None, "no record"),
+        11: ('{"foo": 1}', "unknown layout"),
+        12: (row(1.5), "turn is no 64-bit number"),
+        13: ('{"\\ud800": 1}', "lone surrogate"),
+    }
+    rows = [(i, text) for i, (text, _) in bad.items()] + [(20, row(-(1 << 63))), (21, row(None))]
+    found = chat.canonical_turns(llm.createDataFrame(rows, "conv_id long, record string")).collect()
+    assert {r["conv_id"]: r["reason"] for r in found} == {i: why for i, (_, why) in bad.items()} | {20: None, 21: None}
+    assert len(found) == len(rows)
+    assert {r["conv_id"]: r["text"] for r in found if r["reason"]} == {i: text for i, (text, _) in bad.items()}

@@ -82,7 +82,7 @@ def field_paths(value: object, at: str = "") -> set[str]:
             found |= {path} | field_paths(inner, path)
         return found
     if isinstance(value, list):
-        return {p.replace("[].", "[].", 1) for inner in value for p in field_paths(inner, f"{at}[]")}
+        return {p for inner in value for p in field_paths(inner, f"{at}[]")}
     return set()
 
 
@@ -105,10 +105,12 @@ def _text(value: object) -> str:
 
 
 def turns_of(record: dict, layout: Layout) -> list[tuple[int | None, str, str]]:
-    """(number, role, text) of the turns of one record."""
+    """(number, role, text) of the turns of one record; a value that cannot be one is a ``ValueError``."""
     found: list[tuple[int | None, str, str]] = []
     if layout.row:
         number, role, text = (record.get(k) for k in layout.row)
+        if number is not None and (type(number) is not int or not -(1 << 63) <= number < 1 << 63):
+            raise ValueError("turn is no 64-bit number")
         return [(number, _text(role), _text(text))]
     for role, paths in layout.turns:
         present = [_text(record[p]) for p in paths if p in record]
@@ -116,39 +118,58 @@ def turns_of(record: dict, layout: Layout) -> list[tuple[int | None, str, str]]:
             found.append((len(found), role, "\n".join([x for x in present if x])))
     if layout.items:
         name, role, text = layout.items
-        for item in record[name]:
+        for i, item in enumerate(record[name]):
+            if not isinstance(item, dict):
+                raise ValueError(f"item {i} of {name} has no fields")
             said = _text(item.get(role))
             found.append((len(found), layout.rename.get(said, said), _text(item.get(text))))
     return found
 
 
-TURNS = "conv_id long, turn long, role string, text string, layout string, fingerprint string"
+TURNS = "conv_id long, turn long, role string, text string, layout string, fingerprint string, reason string"
+
+
+def rows_of(text: str | None, known: dict[str, Layout]) -> list[tuple]:
+    """Rows (turn, role, text, layout, fingerprint, reason) of one record; a bad one is one row that says why."""
+    mark = None
+    try:
+        record = json.loads(text) if text else None
+        mark = fingerprint(field_paths(record))
+        layout = known.get(mark) if isinstance(record, dict) else None
+        if layout is None:
+            raise ValueError("unknown layout" if isinstance(record, dict) else "no record")
+        turns = turns_of(record, layout)
+        for turn in turns:
+            "".join(turn[1:]).encode()  # lone surrogates are no text
+        return [(*turn, layout.name, mark, None) for turn in turns]
+    except json.JSONDecodeError:
+        reason = "no JSON"
+    except UnicodeEncodeError:
+        reason = "lone surrogate"
+    except RecursionError:
+        reason = "nested too deeply"
+    except ValueError as error:
+        reason = str(error)
+    return [(None, None, text, None, mark, reason)]
 
 
 def canonical_turns(records: DataFrame, layouts: list[Layout] = LAYOUTS) -> DataFrame:
-    """Turns from ``conv_id`` and ``record`` (JSON text of one record)."""
+    """Turns from ``conv_id`` and ``record`` (JSON text of one record).
+
+    A record that cannot be read is one row without a turn, with its text and the ``reason``: no JSON, no record (null,
+    empty, a list), an unknown layout, list items that are no objects, a turn that is no 64-bit number, text that is
+    not Unicode, or nesting beyond what the reader of JSON takes.
+    """
     known = fingerprints(layouts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in TURNS.split(", ")]
+        kinds = [pa.int64(), pa.int64(), *[pa.string()] * 5]
         for batch in batches:
-            rows = []
-            for conv, text in zip(batch.column("conv_id").to_pylist(), batch.column("record").to_pylist()):
-                try:
-                    record = json.loads(text) if text else None
-                except ValueError:
-                    record = None
-                mark = fingerprint(field_paths(record))
-                layout = known.get(mark) if isinstance(record, dict) else None
-                if layout is None:
-                    rows.append((conv, None, None, text, None, mark))
-                else:
-                    rows += [(conv, *turn, layout.name, mark) for turn in turns_of(record, layout)]
-            columns = list(zip(*rows)) if rows else [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["conv_id", "turn", "role", "text", "layout", "fingerprint"],
-            )
+            pairs = zip(batch.column("conv_id").to_pylist(), batch.column("record").to_pylist())
+            rows = [(conv, *row) for conv, text in pairs for row in rows_of(text, known)]
+            columns = list(zip(*rows)) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return records.select("conv_id", "record").mapInArrow(run, TURNS)
 
@@ -247,9 +268,10 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: _Digest | None = None
         names = [x.split()[0] for x in DIGESTS.split(", ")]
+        kinds = [pa.string() if x.endswith(" string") else pa.int64() for x in DIGESTS.split(", ")]
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
             done = []
@@ -264,8 +286,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
             if done:
                 yield batch_of(done)
         if now is not None:
-            made = batch_of([now.row()])
-            yield made.set_column(0, "conv_id", made.column(0).cast(pa.int64()))
+            yield batch_of([now.row()])
 
     return formatted.mapInArrow(run, DIGESTS)
 
