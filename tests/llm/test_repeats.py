@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidemark.llm import arrays, fmindex, repeats, suffixes
+from tidemark.llm import arrays, fmindex, repeats, suffixes, tables
 
 LAST = 1 << 63
 
@@ -152,3 +152,21 @@ def test_texts_longer_than_places_have_bits(monkeypatch, words):
     width = kind.size - kind.gram + 1
     expected = [i + int(rank[i : i + width].argmin()) for i in range(len(rank) - width + 1)]
     assert [r["start"] + r["lead"] for r in sorted(found, key=lambda r: r["start"]) for _ in range(r["n"])] == expected
+
+
+def test_groups_beyond_the_limit_of_one_offset_width_stay_whole():
+    batches = [pa.record_batch({"doc": [i], "text": pa.array([bytes([65 + i]) * 50], pa.binary())}) for i in range(6)]
+    for limit in (10, 1 << 31):
+        found = tables.whole(batches, limit)
+        assert found.num_rows == 6 and found.column("text").to_pylist() == [bytes([65 + i]) * 50 for i in range(6)]
+    assert pa.types.is_large_binary(tables.whole(batches, 10).schema.field("text").type)
+
+
+@pytest.mark.parametrize("limit", [10, 1 << 31])
+def test_both_operators_take_wide_groups(llm, documents, monkeypatch, limit):
+    plain = tables.whole
+    monkeypatch.setattr(tables, "whole", lambda held: plain(held, limit))
+    words = fmindex._shards(iter([pa.record_batch({"anchor": [1, 1, 2], "words": pa.array([b"a" * 16, b"b" * 16, b"c" * 8], pa.binary())})]), 1)
+    assert [b.column("words").to_pylist() for b in words] == [[b"a" * 16, b"b" * 16], [b"c" * 8]]
+    runs = suffixes.by_group(iter([pa.record_batch({"shard": [0, 0, 3], "rest": pa.array([b"x", b"yy", b""], pa.binary())})]), "shard")
+    assert [b.column("rest").to_pylist() for b in runs] == [[b"x", b"yy"], [b""]]

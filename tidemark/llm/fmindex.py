@@ -219,17 +219,17 @@ def _shards(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
         weight = np.cumsum([len(x) // 8 for x in batch.column("words").to_pylist()])
         start = 0
         if held and held[-1].column("anchor")[-1].as_py() != int(anchor[0]) and size >= words:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield tables.whole(held)
             held, size = [], 0
         for end in bound[:-1].tolist():
             if size + weight[end - 1] - (weight[start - 1] if start else 0) >= words:
                 held.append(batch.slice(start, end - start))
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield tables.whole(held)
                 held, size, start = [], 0, end
         held.append(batch.slice(start))
         size += int(weight[-1] - (weight[start - 1] if start else 0))
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield tables.whole(held)
 
 
 def _resolve(kind: Kind):

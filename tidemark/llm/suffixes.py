@@ -68,7 +68,7 @@ def shared_prefixes(strings: list[bytes]) -> np.ndarray:
     return out
 
 
-RUN = "shard int, run int, rank int, shared int, rest binary, before binary, doc long, mark long, anchor_at int, start int, n int"
+RUN = "shard int, run long, rank int, shared int, rest binary, before binary, doc long, mark long, anchor_at int, start int, n int"
 
 
 def _sorted_runs(splits: np.ndarray):
@@ -88,7 +88,7 @@ def _sorted_runs(splits: np.ndarray):
             shared[head] = 0
             rest = [x[k:] for x, k in zip(after, shared.tolist())]
             n = len(after)
-            columns = [shard, np.full(n, number * 4096 + piece, np.int32), np.arange(n, dtype=np.int32), shared]
+            columns = [shard, np.full(n, (number << 32) + piece, np.int64), np.arange(n, dtype=np.int32), shared]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in columns]
                 + [pa.array(rest, pa.binary())]
@@ -106,10 +106,10 @@ def _joined(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
         if batch.num_rows:
             held.append(batch)
         if sum(b.num_rows for b in held) >= rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
             held = []
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _compare(a: bytes, b: bytes, known: int) -> tuple[bool, int]:
@@ -231,11 +231,11 @@ def by_group(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Reco
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(value)) + 1, [len(value)]))
         for a, b in zip(cuts[:-1], cuts[1:]):
             if held and held[-1].column(column)[0].as_py() != int(value[a]):
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield tables.whole(held)
                 held = []
             held.append(batch.slice(a, b - a))
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield tables.whole(held)
 
 
 def _resolve(kind: Kind):
@@ -251,7 +251,7 @@ def _resolve(kind: Kind):
                 yield resolve_shard(rows, kind)
 
         runs = stretches.mapInArrow(_sorted_runs(splits), RUN)
-        dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard", "run", "rank")
+        dealt = runs.repartitionById(shards, "shard").sortWithinPartitions("shard", "run", "rank")
         return dealt.mapInArrow(merge, COVERED)
 
     return resolve

@@ -136,3 +136,16 @@ def map_slices(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch |
                 yield made
 
     return df.mapInArrow(run, schema)
+
+
+def whole(batches: list[pa.RecordBatch], limit: int = (1 << 31) - 1) -> pa.RecordBatch:
+    """All rows as one batch. Bytes beyond ``limit`` need wide offsets, without which Arrow makes several batches."""
+    table = pa.Table.from_batches(batches)
+    fields = [
+        f.with_type(pa.large_binary()) if pa.types.is_binary(f.type) and table.column(f.name).nbytes > limit else f
+        for f in table.schema
+    ]
+    found = table.cast(pa.schema(fields)).combine_chunks().to_batches()
+    if len(found) != 1:
+        raise ValueError(f"{table.num_rows} rows do not make one batch")
+    return found[0]
