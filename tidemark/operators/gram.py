@@ -30,7 +30,8 @@ def pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
             x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)])
             seen = ~np.isnan(x)
             mask = seen.astype(float)
-            centre = np.where(seen, x, 0).sum(0) / np.maximum(mask.sum(0), 1)
+            # Sums are taken around the medians, so neither a large mean nor an outlier costs the others digits.
+            centre = np.array([np.median(c[s]) if s.any() else 0.0 for c, s in zip(x.T, seen.T)])
             z = np.where(seen, x - centre, 0)
             m = mask.T @ mask
             local = (z.T @ mask) / np.maximum(m, 1)
