@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
-from tidemark.llm import phrases, tables
+from tidemark.llm import packing, phrases, tables
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -97,13 +97,13 @@ def test_full_tries_spill(llm, monkeypatch):
     chunk_rows = [r for b in phrases._word_chunks(8)(iter(texts)) for r in b.to_pylist()]
     assert len({r["chunk"] for r in chunk_rows}) > 2
     counted = Counter()
-    merged = _merge(phrases._merge_words, chunk_rows)
+    merged = _merge(phrases._merge(1, 8), chunk_rows)
     for r in merged:
         if r["number"] is not None:
             counted[1] += 1
     for level in range(1, 5):
         chunk_rows = _extend(level, chunk_rows, merged)
-        merged = _merge(phrases._merge_phrases, chunk_rows)
+        merged = _merge(phrases._merge(level + 1, 8), chunk_rows)
         counted[level + 1] = sum(r["number"] is not None for r in merged)
         if level == 1:  # a chunk whose trie is full has several runs of one prefix partition
             runs = Counter((r["chunk"], r["part"]) for r in chunk_rows if r["part"] is not None)
@@ -155,6 +155,14 @@ def test_trie_counts_and_gives_away_subtrees():
     assert dict(zip(codes.tolist() + rest.tolist(), counts.tolist() + more.tolist())) == expected
 
 
+def test_pairs_come_back_from_steps():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 300):
+        pairs = np.unique(rng.integers(0, 40, (n, 2)), axis=0).astype(np.int64).reshape(-1, 2)
+        left, right = packing.pairs_from(*packing.unpack(packing.pack(*packing.pair_steps(pairs[:, 0], pairs[:, 1]))))
+        assert left.tolist() == pairs[:, 0].tolist() and right.tolist() == pairs[:, 1].tolist()
+
+
 def test_closed_up():
     closed = phrases.closed_up(np.array([0, 0, 5, 0, 3, 4, 0, 0, 7, 0, 2, 2, 2]))
     assert closed.tolist() == [3, 4, 0, 2, 2, 2]

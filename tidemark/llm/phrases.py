@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import tables
 from tidemark.llm.arrays import mix
-from tidemark.llm.packing import pack, unpack
+from tidemark.llm.packing import pack, pair_steps, pairs_from, unpack
 
 LONGEST = 5
 LEAST = 100
@@ -54,7 +54,6 @@ _TEXT = bytes.maketrans(
     bytes(range(ord("A"), ord("Z") + 1)) + _BREAKS + b"\t",
     bytes(range(ord("a"), ord("z") + 1)) + b"\n" * len(_BREAKS) + b" ",
 )
-_INDEX_BITS = 36
 
 
 class Words(dict):
@@ -287,7 +286,7 @@ def _runs(chunk: int, numbers: np.ndarray, codes: np.ndarray, counts: np.ndarray
     turn = np.lexsort((right, left, part))
     left, right, counts = left[turn], right[turn], counts[turn]
     for p, at in _groups(part[turn]):
-        yield chunk, None, p, None, pack(left[at], right[at], counts[at]), None
+        yield chunk, None, p, None, pack(*pair_steps(left[at], right[at]), counts[at]), None
 
 
 class _renumbered:
@@ -340,7 +339,8 @@ def _part_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndar
         yield part, np.concatenate(chunks), runs
 
 
-def _merged_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _merged_words(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
+    """Frequent words; the numbers of a part are its own, and small, which packs well."""
     for part, chunk, runs in _part_runs(batches):
         words = []
         for data, lengths, *_ in runs:
@@ -352,7 +352,7 @@ def _merged_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         if not total.num_rows:
             continue
         names = total.column("word").combine_chunks()
-        numbers = (part << _INDEX_BITS) + np.arange(len(names), dtype=np.int64)
+        numbers = part + parts * np.arange(len(names), dtype=np.int64)
         for i, name, n in zip(numbers.tolist(), names.to_pylist(), total.column("n_sum").to_pylist()):
             lang, _, word = name.rpartition(b"\n")
             yield i, lang.decode(), word, None, None, n, None, None
@@ -360,16 +360,16 @@ def _merged_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from _returned(chunk, at >= 0, np.concatenate([r[3] for r in runs]), numbers[at])
 
 
-def _merged_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _merged_phrases(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
     for part, chunk, runs in _part_runs(batches):
-        left, right, n = (np.concatenate(x) for x in zip(*runs))
+        left, right, n = (np.concatenate(x) for x in zip(*((*pairs_from(a, b), c) for a, b, c in runs)))
         turn = np.lexsort((right, left))
         left, right, n, chunk = left[turn], right[turn], n[turn], chunk[turn]
         new = np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
         starts, group = np.flatnonzero(new), np.cumsum(new) - 1
         total = np.add.reduceat(n, starts)
         frequent = total >= LEAST
-        numbers = (part << _INDEX_BITS) + np.cumsum(frequent) - 1
+        numbers = part + parts * (np.cumsum(frequent) - 1)
         kept = [x[frequent].tolist() for x in (numbers, left[starts], right[starts], total)]
         for i, first, second, count_ in zip(*kept):
             yield i, None, None, first, second, count_, None, None
@@ -384,12 +384,9 @@ def _returned(chunk: np.ndarray, keep: np.ndarray, *columns: np.ndarray) -> Iter
         yield None, None, None, None, None, None, c, pack(*(x[turn[at]] for x in columns))
 
 
-def _merge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _batches(_merged_words(batches), _MERGED, _MERGED_KINDS)
-
-
-def _merge_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _batches(_merged_phrases(batches), _MERGED, _MERGED_KINDS)
+def _merge(level: int, parts: int):
+    merged = _merged_words if level == 1 else _merged_phrases
+    return lambda batches: _batches(merged(batches, parts), _MERGED, _MERGED_KINDS)
 
 
 # --- Spark --------------------------------------------------------------------------------------
@@ -412,8 +409,7 @@ def frequent_phrases(docs: DataFrame, staging: tables.Staging) -> tuple[list[Dat
     for level in range(1, LONGEST + 1):
         runs = chunks.filter("part is not null").select("part", "chunk", "data")
         runs = runs.repartition("part").sortWithinPartitions("part", "chunk")
-        merge = _merge_words if level == 1 else _merge_phrases
-        merged = staging.put(runs.mapInArrow(merge, _MERGED), f"merged{level}")
+        merged = staging.put(runs.mapInArrow(_merge(level, parts), _MERGED), f"merged{level}")
         found.append(merged.filter("number is not null"))
         if level == LONGEST:
             break
