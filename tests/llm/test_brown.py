@@ -111,3 +111,84 @@ def test_words_of_a_tiny_share_are_clustered(documents):
     score = {r["doc_id"]: r["score"] for r in df.collect()}
     # In one class for all of them, both would be equally likely.
     assert np.mean([score[1000 + i] - score[2000 + i] for i in range(300)]) > 1
+
+
+@pytest.fixture
+def partitions(llm):
+    """Set the number of shuffle partitions, and let it hold."""
+    before = {k: llm.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+
+    def to(n):
+        llm.conf.set("spark.sql.shuffle.partitions", str(n))
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    yield to
+    for key, value in before.items():
+        llm.conf.set(key, value)
+
+
+def test_scores_do_not_depend_on_the_number_of_tasks(llm, partitions):
+    docs = llm.read.parquet(f"{FOLDER}/documents.parquet").filter("doc_id < 60")
+    found = []
+    for n in (2, 8, 32):
+        partitions(n)
+        rows = brown.scores(docs, F.col("doc_id") % 7 == 2, classes=8, rounds=3).select("doc_id", "score").collect()
+        found.append({r["doc_id"]: r["score"] for r in rows})
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
+    assert found[0] == pytest.approx(found[2], rel=1e-9)
+
+
+def test_rounds_that_do_not_gain_are_undone(llm, monkeypatch):
+    docs = llm.read.parquet(f"{FOLDER}/documents.parquet").filter("doc_id < 20")
+    values = iter([-100.0, -90.0, -95.0, -80.0, -85.0, -86.0])  # start, gain, loss, gain, loss, loss
+    moved = []
+    move = brown._move_rows
+    monkeypatch.setattr(brown, "likelihood", lambda counts: next(values))
+    monkeypatch.setattr(brown, "_move_rows", lambda *a: moved.append(a[4:]) or move(*a))
+    rows = brown.scores(docs, F.lit(False), classes=4).collect()
+    assert moved == [(1, 0), (1, 0), (2, 0), (2, 1), (4, 0)]
+    assert len(rows) == 20 and all(math.isfinite(r["score"]) for r in rows)
+
+
+def test_least_is_one_rule_for_every_size(documents):
+    rows = [(i, "twice twice other words") for i in range(1)] + [(9, "other words again")]
+    few = {r["doc_id"]: r["score"] for r in brown.scores(documents(rows), F.lit(False), classes=2, least=100).collect()}
+    assert few and all(math.isfinite(s) for s in few.values())
+
+
+def test_score_equals_brute_force_with_given_classes():
+    rng = np.random.default_rng(8)
+    classes, words = 3, np.sort(rng.integers(-(1 << 60), 1 << 60, 9))
+    total = np.array([5, 9, 3, 7, 4, 1, 2, 0, 1])
+    label = np.where(total >= 3, rng.integers(0, classes, 9), classes)
+    frequent = brown.Frequent(words[:5], label[:5].astype(np.int16), classes, least=3)
+    pairs = rng.integers(0, 20, (classes + 2, classes + 2)).astype(float)
+    for c in range(classes + 1):  # as many tokens of each class as its words have
+        pairs[:, c] = np.bincount(rng.integers(0, classes + 2, total[label == c].sum()), minlength=classes + 2)
+    seen = int((total > 0).sum())
+    model = brown.make_model(frequent, pairs, 50, seen + 1, 4, clustered=5)
+    texts = [[0, 1, 8, 7], [], [5, 5, 2, 3, 4]]
+    flat = np.array([w for t in texts for w in t], np.int32)
+    row = {
+        "words": words.tobytes(), "totals": total.tobytes(), "tokens": flat.tobytes(), "docs": [1, 2, 3],
+        "held": [False] * 3, "first": np.cumsum([0, *map(len, texts)]).tobytes(),
+    }
+    found = brown._score(row, model).column("score").to_pylist()
+    prior = (pairs.sum(0) + 1) / (pairs.sum() + len(pairs))
+    smooth = (pairs + brown.TRANSITION_PRIOR * prior) / (pairs + brown.TRANSITION_PRIOR * prior).sum(1, keepdims=True)
+    tail_words = int(((total > 0) & (total < 3)).sum())
+
+    def emission(w):
+        size = total[label == label[w]].sum()
+        return (total[w] + 1) / (size + tail_words + 1) if label[w] == classes else total[w] / size
+
+    for text, score in zip(texts, found):
+        kinds = [classes + 1, *(label[w] for w in text), classes + 1]
+        p = math.prod(smooth[a, b] for a, b in zip(kinds, kinds[1:])) * math.prod(emission(w) for w in text)
+        assert score == pytest.approx(math.log10(p))
+    # Emissions of a class sum to one; the class of all other words leaves one share for words never seen.
+    for c in range(classes):
+        members = [emission(w) for w in range(9) if label[w] == c]
+        assert not members or sum(members) == pytest.approx(1)
+    rest = [emission(w) for w in range(9) if label[w] == classes and total[w]]
+    assert sum(rest) + 1 / (total[label == classes].sum() + tail_words + 1) == pytest.approx(1)

@@ -7,10 +7,11 @@ counts, then their classes after each round. So neither the vocabulary, nor the
 sent to the driver. All words seen at least ``LEAST`` times in training are clustered, however many there are. All others
 share one class, in which each still has its own counted probability.
 
-In a round every chunk counts its words' neighbours by class, a bucket sums these counts for its words, and each task
-moves a word to the class that raises the likelihood most, in its own copy of the class counts: words that make up at
-least ``WORD_SHARE`` of the training tokens one by one, the others in small batches. Then the counts are taken anew. A
-round that lowers the likelihood is undone and ends the search.
+In a round every chunk counts its words' neighbours by class, a bucket sums these counts for its words, and moves each
+to the class that raises the likelihood most: words that make up at least ``WORD_SHARE`` of the training tokens one by
+one, the others in small batches. The buckets of a group share a copy of the class counts. Then the counts are taken
+anew. Groups and buckets follow from the number of words, so the classes do not depend on how many tasks there are. A
+round that does not raise the likelihood is undone, and the rounds after it move the words of half as many buckets.
 
 Input cases: a null text is an empty one, whose only token is its end; repeated ids or rows are separate texts; a null
 id is trained on; with nothing to learn from every token has probability one in the base score; an empty table gives an
@@ -32,7 +33,10 @@ from tidemark.llm import arrays, tables
 
 CLASSES = 48
 ROUNDS = 5
-#: Times a word is seen in training from which on it is clustered; fewer do if they make up ``WORD_SHARE`` of the tokens.
+#: Part of the likelihood by which a round must raise it for another one to follow, and most parts of a round.
+SETTLED = 1e-4
+MOST_PARTS = 4
+#: Times a word is seen in training from which on it is clustered.
 LEAST = 3
 #: Share of the training tokens from which on a word is moved by itself, and starts in a class by its rank.
 WORD_SHARE = 1.0 / (1 << 16)
@@ -40,6 +44,9 @@ WORD_SHARE = 1.0 / (1 << 16)
 BATCH = 512
 #: Words of chunks that meet in one bucket, about, and buckets at least.
 BUCKET_WORDS, BUCKETS = 1 << 18, 256
+#: Buckets, and clustered words at least, that are moved one after the other in one task: words that are moved side by
+#: side do not see each other's moves, which only many words make up for.
+GROUP_BUCKETS, GROUP_WORDS = 16, 4096
 #: Text of one chunk, about.
 CHUNK_BYTES = 8 << 20
 #: Weight of the class's own share in a smoothed transition.
@@ -400,13 +407,22 @@ def best_classes(
 ANSWERS = "chunk long, bucket long, label binary"
 
 
-def _move_rows(counts, classes: int, often: int):
-    """New classes of all words, each task moving its own. ``counts`` are broadcast ones."""
+def _move_rows(counts, classes: int, often: int, groups: int, shares: int = 1, share: int = 0):
+    """New classes of the words of one in ``shares`` buckets; the others stay.
+
+    Rows come in order of their group (bucket modulo ``groups``) and bucket. ``counts`` are broadcast ones, of which each
+    group moves its words in a copy.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, width = counts.value.copy(), classes + 2
-        stride = 2 * width + 1
+        width = classes + 2
+        stride, group, mine = 2 * width + 1, -1, None
         for rows in _by_bucket(batches):
+            if rows[0]["bucket"] % groups != group:
+                group, mine = rows[0]["bucket"] % groups, counts.value.copy()
+            if rows[0]["bucket"] // groups % shares != share:
+                yield _packed([(r["chunk"], r["bucket"], np.frombuffer(r["label"], np.int16)) for r in rows], ANSWERS)
+                continue
             words, head, place = np.unique(_joined(rows, "words", np.int64), return_index=True, return_inverse=True)
             label = _joined(rows, "label", np.int16)[head].astype(np.int64)
             cell, n = _joined(rows, "cell", np.int16), _joined(rows, "n", np.int32)
@@ -441,33 +457,46 @@ def _move_rows(counts, classes: int, often: int):
 
 
 def cluster(
-    base: DataFrame, frequent, buckets: int, often: int, staging: tables.Staging, rounds: int
+    base: DataFrame, frequent, buckets: int, often: int, staging: tables.Staging, rounds: int, clustered: int
 ) -> tuple[DataFrame, np.ndarray]:
     """Exchange rounds; returns the chunks with the classes of their words, and the class bigram counts."""
     context, classes = base.sparkSession.sparkContext, frequent.value.classes
     rows = base.select("chunk", "held", "first", "tokens", "words", "totals")
 
-    def counted(answers: DataFrame | None, turn: int) -> tuple[DataFrame, np.ndarray]:
+    entries_at = best_at = ""
+
+    def counted(answers: DataFrame | None, turn: str) -> tuple[DataFrame, np.ndarray]:
+        nonlocal entries_at
         joined = rows if answers is None else _back(rows, answers, "label")
-        entries = staging.put(joined.mapInArrow(_entry_rows(frequent, buckets), ENTRIES), f"entries{turn}")
+        entries_at = f"entries{turn}"
+        entries = staging.put(joined.mapInArrow(_entry_rows(frequent, buckets), ENTRIES), entries_at)
         return entries, _class_counts(entries, classes + 2)
 
-    best = None
-    entries, counts = counted(None, 0)
+    best, parts = None, 1
+    groups = max(1, min(buckets // GROUP_BUCKETS, clustered // GROUP_WORDS))
+    entries, counts = counted(None, "0")
     value = likelihood(counts)
     for turn in range(rounds):
         held = context.broadcast(counts)
-        moved = _dealt(entries.filter("bucket >= 0")).mapInArrow(_move_rows(held, classes, often), ANSWERS)
-        moved = staging.put(moved, f"classes{turn}", keep=True)
-        staging.release(f"entries{turn}")
-        entries, fresh = counted(moved, turn + 1)
+        move = _move_rows(held, classes, often, groups, parts, turn % parts)
+        dealt = entries.filter("bucket >= 0").withColumn("group", (F.col("bucket") % groups).cast("int"))
+        dealt = dealt.repartitionById(groups, "group").sortWithinPartitions("group", "bucket").drop("group")
+        moved = staging.put(dealt.mapInArrow(move, ANSWERS), f"classes{turn}", keep=True)
+        staging.release(entries_at)
+        entries, fresh = counted(moved, f"{turn + 1}")
         better = likelihood(fresh)
         if better <= value:
-            break
+            staging.release(f"classes{turn}")
+            parts *= 2
+            if parts > MOST_PARTS or turn + 1 == rounds:
+                break
+            staging.release(entries_at)
+            entries, counts = counted(best, f"{turn + 1}-again")
+            continue
         if best is not None:
-            staging.release(f"classes{turn - 1}")
-        best, counts, gained, value = moved, fresh, better - value, better
-        if gained < 1e-4 * abs(value):
+            staging.release(best_at)
+        best, best_at, counts, gained, value = moved, f"classes{turn}", fresh, better - value, better
+        if gained < SETTLED * abs(value):
             break
     return (base if best is None else _back(base, best, "label")), counts
 
@@ -545,10 +574,12 @@ def _score(row: dict, model: Model) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORES.split(", ")])
 
 
-def scores(docs: DataFrame, held_out: Column, classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
+def scores(
+    docs: DataFrame, held_out: Column, classes: int = CLASSES, rounds: int = ROUNDS, least: int = LEAST
+) -> DataFrame:
     """Base score, model score (log10 probabilities of the whole text) and perplexity of every row of ``docs``.
 
-    Rows where ``held_out`` is false are learned from.
+    Rows where ``held_out`` is false are learned from; words that those hold ``least`` times or more are clustered.
     """
     spark = docs.sparkSession
     texts = docs.select(
@@ -560,8 +591,7 @@ def scores(docs: DataFrame, held_out: Column, classes: int = CLASSES, rounds: in
         ends = texts.filter(~F.col("held")).count()
         tokens = int(found["tokens"] or 0) + ends
         buckets = max(BUCKETS, int(found["words"] or 0) // BUCKET_WORDS)
-        often = max(1, int(np.ceil(tokens * WORD_SHARE)))
-        least = min(LEAST, often)
+        often = max(least, int(np.ceil(tokens * WORD_SHARE)))
         counted = chunks.select("chunk", "words", "counts").mapInArrow(_count_rows(buckets), COUNTED)
         totals = staging.put(_dealt(counted).mapInArrow(_total_rows(least, often), TOTALS), "totals")
         own = totals.filter("chunk < 0")
@@ -578,7 +608,7 @@ def scores(docs: DataFrame, held_out: Column, classes: int = CLASSES, rounds: in
         staging.release("chunks")
         staging.release("totals")
         starts = spark.sparkContext.broadcast(frequent)
-        labelled, counts = cluster(base, starts, buckets, often, staging, rounds if clustered else 0)
+        labelled, counts = cluster(base, starts, buckets, often, staging, rounds if clustered else 0, clustered)
         model = make_model(frequent, counts, tokens, vocabulary, ends, clustered, buckets)
         held = spark.sparkContext.broadcast(model)
 
