@@ -45,6 +45,19 @@ def test_matrix(inputs):
     assert len(cohorts.retention_matrix(retention, at_least=5).columns) == 6
 
 
+def test_matrix_of_a_mistyped_year_is_an_error(spark):
+    rows = [(date(2023, 1, 1), 0, 1.0), (date(2023, 1, 1), 95_723, 1.0)]
+    retention = spark.createDataFrame(rows, "Cohort date, MonthNo int, RetentionRate double")
+    with pytest.raises(ValueError, match="month number 95723"):
+        cohorts.retention_matrix(retention)
+
+
+def test_sketches_give_the_curve(inputs):
+    estimated = cohorts.approximate_curve(cohorts.activity_sketches(*inputs))
+    exact = cohorts.retention_curve(*inputs).select("MonthNo", "ActiveCustomers")
+    assert sorted(map(tuple, estimated.collect())) == sorted(map(tuple, exact.collect()))
+
+
 def test_best_and_worst(inputs, spark):
     retention = cohorts.cohort_retention(*inputs)
     found = {r["Category"]: (r["Cohort"], r["RetentionRate"]) for r in cohorts.best_and_worst_cohort(retention).collect()}

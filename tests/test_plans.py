@@ -83,8 +83,18 @@ def test_slices_expand_customers_four_times_only(spark, no_broadcast):
 def test_rank_of_many_rows_has_no_global_window(spark):
     tables = adapters.business_tables(spark, FOLDER)
     text = plan(sql_queries.revenue_rank(spark, tables))
-    assert "SinglePartition" not in text
-    assert re.search(r"Window \[rank\(.*\[_part#", text)
+    assert "SinglePartition" not in text and "Window" not in text
+    assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+
+
+def test_states_in_force_shuffle_a_large_key_by_segments(spark, no_broadcast):
+    text = plan(REGISTRY["plan_at_shipment"](spark, FOLDER))
+    assert re.search(r"Exchange hashpartitioning\(_key#\w+, _segment#", text)
+
+
+def test_days_are_never_multiplied_by_subscriptions(spark):
+    text = plan(REGISTRY["active_by_day"](spark, FOLDER))
+    assert "o_orderkey" not in text and "NestedLoop" not in text  # only the staged changes are left
 
 
 def test_only_the_facts_in_use_are_computed(spark):

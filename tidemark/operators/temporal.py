@@ -134,19 +134,15 @@ def active_by_day(df: DataFrame, start: str, end: str, amount: str, partitions:
 
 
 def _every_day(changes: DataFrame) -> DataFrame:
-    """Days between changes have the values of the change before them."""
-    following = as_of_next(changes, "Day")
+    """Days between changes have the values of the change before them.
+
+    Rows meet in the year that they lie in; the first change of every year, one number for each, is known to all.
+    """
+    year = F.year("Day")
+    first_days = F.array_sort(F.collect_list("_first"))
+    firsts = changes.groupBy(year.alias("_year")).agg(F.min("Day").alias("_first")).agg(first_days).scalar()
+    inside = F.lead("Day").over(Window.partitionBy(year).orderBy("Day"))
+    following = F.coalesce(inside, F.array_min(F.filter(firsts, lambda first: first > F.col("Day"))))
     days = F.explode(F.sequence("Day", F.coalesce(F.date_sub("_next", 1), F.col("Day"))))
-    return following.select(days.alias("Day"), F.col("Active").cast("long"), F.col("Amount").cast("double"))
-
-
-def as_of_next(rows: DataFrame, time: str) -> DataFrame:
-    """Add the next greater ``time`` as ``_next``: rows meet in buckets of a year, whose first times are handed back."""
-    bucket = F.year(time)
-    firsts = rows.groupBy(bucket.alias("_bucket")).agg(F.min(time).alias("_first"))
-    over = Window.orderBy("_bucket")  # one row for each year
-    firsts = firsts.select("_bucket", F.lead("_first").over(over).alias("_later"))
-    inside = Window.partitionBy("_bucket").orderBy(time)
-    marked = rows.withColumn("_bucket", bucket).withColumn("_next", F.lead(time).over(inside))
-    joined = marked.join(firsts, "_bucket")
-    return joined.withColumn("_next", F.coalesce("_next", "_later")).drop("_bucket", "_later")
+    rows = changes.withColumn("_next", following)
+    return rows.select(days.alias("Day"), F.col("Active").cast("long"), F.col("Amount").cast("double"))
