@@ -136,13 +136,14 @@ def active_by_day(df: DataFrame, start: str, end: str, amount: str, partitions:
 def _every_day(changes: DataFrame) -> DataFrame:
     """Days between changes have the values of the change before them.
 
-    Rows meet in the year that they lie in; the first change of every year, one number for each, is known to all.
+    Rows meet in the year that they lie in; the first change of the next year that has one is handed to them.
     """
     year = F.year("Day")
-    first_days = F.array_sort(F.collect_list("_first"))
-    firsts = changes.groupBy(year.alias("_year")).agg(F.min("Day").alias("_first")).agg(first_days).scalar()
-    inside = F.lead("Day").over(Window.partitionBy(year).orderBy("Day"))
-    following = F.coalesce(inside, F.array_min(F.filter(firsts, lambda first: first > F.col("Day"))))
-    days = F.explode(F.sequence("Day", F.coalesce(F.date_sub("_next", 1), F.col("Day"))))
-    rows = changes.withColumn("_next", following)
+    by_year = Window.orderBy("_year")  # one row for each year
+    firsts = changes.groupBy(year.alias("_year")).agg(F.min("Day").alias("_first"))
+    firsts = staged(firsts.select("_year", F.lead("_first").over(by_year).alias("_later")), "years")
+    inside = F.lead("Day").over(Window.partitionBy("_year").orderBy("Day"))
+    rows = changes.withColumn("_year", year).withColumn("_inside", inside).join(firsts, "_year")
+    following = F.coalesce("_inside", "_later")
+    days = F.explode(F.sequence("Day", F.coalesce(F.date_sub(following, 1), F.col("Day"))))
     return rows.select(days.alias("Day"), F.col("Active").cast("long"), F.col("Amount").cast("double"))

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import features, summaries
+from tidemark.operators import features, summaries, temporal
 from tidemark.plans import churn, cohorts, revenue, risk, segments, sql_queries
 from tidemark.sources.readers import try_parse_date, try_parse_number
 from tidemark.sources.sinks import write_reports
@@ -95,6 +95,10 @@ def analysis_reports(tables: Tables, as_of: date | None = None) -> Tables:
         "cohort_best_worst": cohorts.best_and_worst_cohort(retention),
         "churn_trend": churn.churn_trend(subscriptions),
         "churn_by_industry": churn.churn_rate_by_industry(latest),
+        "active_by_day": temporal.active_by_day(subscriptions, "StartDate", "EndDate", "MRR"),
+        "plan_at_usage": temporal.as_of_join(
+            usage, subscriptions, "CustomerID", "Month", "StartDate", "SubscriptionID", ["SubscriptionID", "PlanName", "Status"]
+        ),
         "session_histogram": summaries.histogram(usage, "SessionMinutes"),
         "logins_by_status": churn.mean_by_status(latest, "AverageLogins"),
         "satisfaction_by_status": churn.mean_by_status(latest, "AverageSatisfaction"),
