@@ -48,10 +48,11 @@ def as_of_join(
     )
     bounds = _segment_bounds(states.select("_key", "_time").unionAll(rows.select("_key", "_time")), segment_rows)
     both = states.unionByName(rows)
-    if bounds is not None:
-        both = _with_segments(both, bounds)
-    else:
-        both = both.withColumn("_segment", F.lit(0))
+    both = _with_segments(both, bounds) if bounds is not None else both.withColumn("_segment", F.lit(0))
+    # Rows that can find nothing are spread over tasks of their own, however many have no key.
+    known = F.col("_key").isNotNull() & F.col("_time").isNotNull()
+    apart = (-1 - F.pmod(F.xxhash64("_row"), F.lit(SEGMENTS))).cast("int")
+    both = both.withColumn("_segment", F.when(known, F.col("_segment")).otherwise(apart))
     along = (
         Window.partitionBy("_key", "_segment")
         .orderBy("_time", "_side", "_tie")
@@ -61,7 +62,6 @@ def as_of_join(
     if bounds is not None:
         found = found.join(_carried(states.join(bounds, "_key")), ["_key", "_segment"], "left")
         found = found.withColumn("_found", F.coalesce("_found", "_carried"))
-    known = F.col("_key").isNotNull() & F.col("_time").isNotNull()
     state = F.when(known, F.col("_found"))
     return found.select("_row.*", *[state[c].alias(c) for c in columns])
 
