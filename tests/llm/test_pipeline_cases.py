@@ -37,7 +37,7 @@ def test_every_stage_takes_an_empty_table(llm, documents, folder, n):
     made = corpus_pipeline.STAGES[n][1](llm, empty, path)
     assert made.count() == 0
     if n < len(corpus_pipeline.STAGES) - 1:
-        assert made.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert made.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_awkward_rows_pass_through_all_stages(llm, documents, folder, awkward):
