@@ -192,3 +192,28 @@ def test_score_equals_brute_force_with_given_classes():
         assert not members or sum(members) == pytest.approx(1)
     rest = [emission(w) for w in range(9) if label[w] == classes and total[w]]
     assert sum(rest) + 1 / (total[label == classes].sum() + tail_words + 1) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("cells", [100, 1 << 40])
+def test_cells_are_summed_in_order(cells):
+    rng = np.random.default_rng(12)
+    key, n = rng.integers(0, min(cells, 1 << 40), 50).repeat(3), rng.integers(1, 9, 150).astype(np.int32)
+    expected = Counter()
+    for k, x in zip(key.tolist(), n.tolist()):
+        expected[k] += x
+    found = brown._summed(key, n, cells)
+    assert list(zip(*(x.tolist() for x in found))) == sorted(expected.items())
+    assert [len(x) for x in brown._summed(key[:0], n[:0], cells)] == [0, 0]
+
+
+def test_a_batch_works_out_each_change_once(monkeypatch):
+    rng = np.random.default_rng(13)
+    words, classes = 512, 48
+    counts = rng.integers(500, 900, (classes + 2, classes + 2)).astype(float)
+    label = rng.integers(0, classes, words)
+    after, before = (rng.poisson(0.2, (words, classes + 2)).astype(float) for _ in range(2))
+    asked, log = [], brown._xlogx
+    monkeypatch.setattr(brown, "_xlogx", lambda x: asked.append(np.size(x)) or log(x))
+    brown.best_classes(counts, classes, label, after, before, np.zeros(words))
+    # Less than one logarithm for each neighbour and class; two and more before.
+    assert sum(asked) < (np.count_nonzero(after) + np.count_nonzero(before)) * classes / 4

@@ -58,6 +58,12 @@ CHUNKS = (
 )
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order of their first place, and the number of each value among them; without sorting."""
+    found = pa.array(values).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to chunks: word numbers of all texts in turn, words by number (most frequent first), training counts."""
     task, made = TaskContext.get().partitionId(), 0
@@ -68,8 +74,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches([h[0] for h in held])
         hashes = np.concatenate([h[1] for h in held])
         size = np.concatenate([h[2] for h in held])
-        words, number = np.unique(hashes, return_inverse=True)
-        turn = np.argsort(-np.bincount(number, minlength=len(words)), kind="stable")
+        words, number = _numbered(hashes.view(np.int64))
+        turn = np.lexsort((words.view(np.uint64), -np.bincount(number, minlength=len(words))))
         place = np.empty(len(words), np.int32)
         place[turn] = np.arange(len(words))
         tokens, words = place[number], words[turn]
@@ -163,7 +169,7 @@ def _total_rows(least: int, often: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.int64)
         for rows in _by_bucket(batches):
-            words, place = np.unique(_joined(rows, "words", np.int64), return_inverse=True)
+            words, place = _numbered(_joined(rows, "words", np.int64))
             total = np.bincount(place, weights=_joined(rows, "counts", np.int64)).astype(np.int64)
             top, bucket = total >= often, rows[0]["bucket"]
             out = [(-1, bucket, words[top], total[top], int((total > 0).sum()), int((total >= least).sum()))]
@@ -255,7 +261,7 @@ def _labels(row: dict, frequent: Frequent, buckets: int) -> tuple[np.ndarray, np
 
 #: ``size`` cells for each word: class of the word after, class of the word before behind these, or the word itself.
 #: Rows with bucket -1 count class pairs.
-ENTRIES = "bucket long, chunk long, words binary, label binary, size binary, cell binary, n binary"
+ENTRIES = "bucket long, chunk long, words binary, label binary, size binary, cell binary, n binary, pairs binary"
 
 
 def _entry_rows(frequent, buckets: int):
@@ -279,12 +285,7 @@ def _entry_rows(frequent, buckets: int):
                 follows = np.where(itself, 2 * width, kind[after])
                 key = np.concatenate((place[before] * stride + follows, place[after] * stride + width + kind[before]))
                 key = key[np.concatenate((place[before] >= 0, (place[after] >= 0) & ~itself))]
-                if len(live) * stride < 1 << 24:
-                    n = np.bincount(key)
-                    key = np.flatnonzero(n)
-                    n = n[key]
-                else:
-                    key, n = np.unique(key, return_counts=True)
+                key, n = np.unique(key, return_counts=True)
                 cell, n = (key % stride).astype(np.int16), n.astype(np.int32)
                 size = np.bincount(key // stride, minlength=len(live)).astype(np.int16)
                 first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
@@ -292,9 +293,9 @@ def _entry_rows(frequent, buckets: int):
                 out = []
                 for k, i, j in zip(some.tolist(), at[:-1], at[1:]):
                     of, cells = live[i:j], slice(first[i], first[j])
-                    out.append((k, row["chunk"], words[of], label[of], size[i:j], cell[cells], n[cells]))
+                    out.append((k, row["chunk"], words[of], label[of], size[i:j], cell[cells], n[cells], none))
                 yield _packed(out, ENTRIES)
-        yield _packed([(-1, -1, none, none, none, none, pairs)], ENTRIES)
+        yield _packed([(-1, -1, none, none, none, none, none, pairs)], ENTRIES)
 
     return run
 
@@ -305,12 +306,12 @@ def _class_counts(entries: DataFrame, width: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width * width, np.int64)
         for batch in batches:
-            for n in batch.column("n"):
-                total += np.frombuffer(n.as_py(), np.int64)
+            for pairs in batch.column("pairs"):
+                total += np.frombuffer(pairs.as_py(), np.int64)
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
-    rows = entries.filter("bucket < 0").select("n").mapInArrow(run, "cell long, n long")
+    rows = entries.filter("bucket < 0").select("pairs").mapInArrow(run, "cell long, n long")
     table = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(width * width)
     counts[table.column("cell").to_numpy()] = table.column("n").to_numpy()
@@ -370,43 +371,68 @@ def best_classes(
         word, cell = np.nonzero(mine)
         if not len(word):
             return
-        more = mine[word, cell][:, None]
-        entry, was = np.arange(len(word)), old[word]
-        now = table[:classes, cell].T.copy()
-        now[entry, was] -= more[:, 0]
+        more, was = mine[word, cell], old[word]
+        # Outside the word's own class, the change depends only on the cell and on what it gets.
+        span = int(more.max()) + 1
+        kinds, which = np.unique(cell * span + more.astype(np.int64), return_inverse=True)
+        of, extra = np.divmod(kinds, span)
+        now = table[:classes, of].T
+        change = _xlogx(now + extra[:, None]) - _xlogx(now)
+        inner = np.flatnonzero(of < classes)
+        change[inner, of[inner]] = 0  # the cell of a class with itself comes below
+        change = change[which]
+        held = table[was, cell]
+        change[np.arange(len(word)), was] = _xlogx(held) - _xlogx(held - more)
         hit = np.flatnonzero(cell == was)
-        now[hit] -= other[word[hit], :classes]
-        now[hit, was[hit]] -= own[word[hit]]
-        change = _xlogx(now + more) - _xlogx(now)
-        inner = np.flatnonzero(cell < classes)
-        change[inner, cell[inner]] = 0  # the cell of a class with itself comes below
+        now = table[:classes, cell[hit]].T - other[word[hit], :classes]
+        change[hit] = _xlogx(now + more[hit, None]) - _xlogx(now)
+        change[hit, was[hit]] = 0
         first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         gain[word[first]] += np.add.reduceat(change, first, axis=0)
 
     side(counts, after, before)
     side(counts.T, before, after)
+    more = after[:, :classes] + before[:, :classes] + own[:, None]
     itself = np.tile(np.diag(counts)[:classes], (n, 1))
-    itself[at, old] -= after[at, old] + before[at, old] + own
-    gain += _xlogx(itself + after[:, :classes] + before[:, :classes] + own[:, None]) - _xlogx(itself)
+    itself[at, old] -= more[at, old]
+    word, cell = np.nonzero(more)
+    held = itself[word, cell]
+    gain[word, cell] += _xlogx(held + more[word, cell]) - _xlogx(held)
     for margin, mine in ((counts.sum(1), after), (counts.sum(0), before)):
-        size = (mine.sum(1) + own)[:, None]
-        rest = np.tile(margin[:classes], (n, 1))
-        rest[at, old] -= size[:, 0]
-        gain -= _xlogx(rest + size) - _xlogx(rest)
+        margin, size = margin[:classes], mine.sum(1) + own
+        kinds, which = np.unique(size, return_inverse=True)
+        change = (_xlogx(margin + kinds[:, None]) - _xlogx(margin))[which]
+        change[at, old] = _xlogx(margin[old]) - _xlogx(margin[old] - size)
+        gain -= change
     new = gain.argmax(1)
     kept = gain[at, old]
     new = np.where(gain[at, new] <= kept + 1e-9 * np.abs(kept), old, new)
     moved = np.flatnonzero(new != old)
+    for table, mine in ((counts, after), (counts.T, before)):
+        word, cell = np.nonzero(mine[moved])
+        more, width = mine[moved[word], cell], len(counts)
+        for label, sign in ((old[moved], -1), (new[moved], 1)):
+            change = np.bincount(label[word] * width + cell, weights=more, minlength=width * width)
+            table += sign * change.reshape(width, width)
     for label, sign in ((old[moved], -1), (new[moved], 1)):
-        np.add.at(counts, label, sign * after[moved])
-        np.add.at(counts.T, label, sign * before[moved])
-        np.add.at(counts, (label, label), sign * own[moved])
+        itself = np.bincount(label, weights=own[moved], minlength=len(counts))
+        counts += sign * np.diag(itself)
     return new
 
 
 ANSWERS = "chunk long, bucket long, label binary"
 
 
+def _summed(key: np.ndarray, n: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys (below ``cells``) in order, and the sum of ``n`` (1 or more each) of each."""
+    if cells < 1 << 24:
+        total = np.bincount(key, weights=n, minlength=1)
+        key = np.flatnonzero(total)
+        return key, total[key]
+    key, place = np.unique(key, return_inverse=True)
+    return key, np.bincount(place, weights=n, minlength=len(key))
+
+
 def _move_rows(counts, classes: int, often: int, groups: int, shares: int = 1, share: int = 0):
     """New classes of the words of one in ``shares`` buckets; the others stay.
 
@@ -423,17 +449,17 @@ def _move_rows(counts, classes: int, often: int, groups: int, shares: int = 1, s
             if rows[0]["bucket"] // groups % shares != share:
                 yield _packed([(r["chunk"], r["bucket"], np.frombuffer(r["label"], np.int16)) for r in rows], ANSWERS)
                 continue
-            words, head, place = np.unique(_joined(rows, "words", np.int64), return_index=True, return_inverse=True)
-            label = _joined(rows, "label", np.int16)[head].astype(np.int64)
+            words, place = _numbered(_joined(rows, "words", np.int64))
+            label = np.empty(len(words), np.int64)
+            label[place] = _joined(rows, "label", np.int16)
             cell, n = _joined(rows, "cell", np.int16), _joined(rows, "n", np.int32)
             of = np.repeat(place, _joined(rows, "size", np.int16))
             # Every token of a word has one token after it, which may be the word itself.
             total = np.bincount(of, weights=n * ((cell < width) | (cell == 2 * width)), minlength=len(words))
-            turn = np.argsort(-total, kind="stable")
+            turn = np.lexsort((words, -total))
             rank = np.empty(len(words), np.int64)
             rank[turn] = np.arange(len(words))
-            key, where = np.unique(rank[of] * stride + cell, return_inverse=True)
-            n = np.bincount(where, weights=n)
+            key, n = _summed(rank[of] * stride + cell, n, len(words) * stride)
             singles = int((total >= often).sum())
             for begin in [*range(singles), *range(singles, len(words), BATCH)]:
                 end = begin + 1 if begin < singles else min(begin + BATCH, len(words))
@@ -479,7 +505,7 @@ def cluster(
     for turn in range(rounds):
         held = context.broadcast(counts)
         move = _move_rows(held, classes, often, groups, parts, turn % parts)
-        dealt = entries.filter("bucket >= 0").withColumn("group", (F.col("bucket") % groups).cast("int"))
+        dealt = entries.filter("bucket >= 0").drop("pairs").withColumn("group", (F.col("bucket") % groups).cast("int"))
         dealt = dealt.repartitionById(groups, "group").sortWithinPartitions("group", "bucket").drop("group")
         moved = staging.put(dealt.mapInArrow(move, ANSWERS), f"classes{turn}", keep=True)
         staging.release(entries_at)
