@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import brown
+from tidemark.llm import brown, tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -217,3 +220,79 @@ def test_a_batch_works_out_each_change_once(monkeypatch):
     brown.best_classes(counts, classes, label, after, before, np.zeros(words))
     # Less than one logarithm for each neighbour and class; two and more before.
     assert sum(asked) < (np.count_nonzero(after) + np.count_nonzero(before)) * classes / 4
+
+
+def test_a_task_holds_a_part_of_its_rows(llm, monkeypatch, tmp_path):
+    rng = np.random.default_rng(21)
+    words = np.array([f"{i:05x}" for i in range(200_000)])
+    texts = [(i, " ".join(words[rng.integers(0, len(words), 170_000)])) for i in range(40)]
+    schema = "doc_id long, text string"
+    llm.createDataFrame(texts, schema).coalesce(1).write.parquet(str(tmp_path / "documents"))
+    seen, put, before = {}, tables.Staging.put, llm.conf.get(tables.BATCH_SETTING, None)
+
+    def spied(self, df, name, *a, **b):
+        out = put(self, df, name, *a, **b)
+        files = [f.removeprefix("file://") for f in out.inputFiles()]
+        groups = [g for m in map(pq.read_metadata, files) for g in map(m.row_group, range(m.num_row_groups))]
+        seen[name] = int(llm.conf.get(tables.BATCH_SETTING)), [(g.num_rows, g.total_byte_size) for g in groups]
+        return out
+
+    monkeypatch.setattr(tables.Staging, "put", spied)
+    docs = llm.read.parquet(str(tmp_path / "documents"))
+    assert brown.scores(docs, F.lit(False), classes=4, rounds=1).count() == 40
+    assert {b for b, _ in seen.values()} == {brown.BATCH_BYTES}
+    assert llm.conf.get(tables.BATCH_SETTING, None) == before
+    for name in ("chunks", "base", "entries0", "entries1"):
+        groups = seen[name][1]
+        # The row that fills a group may be a large one.
+        assert all(size <= brown.GROUP_BYTES + (8 << 20) for _, size in groups), name
+    assert len(seen["chunks"][1]) > 1
+
+
+def test_batches_end_with_the_row_that_fills_them(llm):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    df = llm.range(0, 40, 1, 1).selectExpr("repeat('x', 100000) AS text")
+    before = llm.conf.get(tables.BATCH_SETTING, None)
+    with pytest.raises(ValueError), tables.small_batches(llm, 1 << 20):
+        assert [r["n"] for r in df.mapInArrow(sizes, "n long").collect()] == [11, 11, 11, 7]
+        raise ValueError
+    assert llm.conf.get(tables.BATCH_SETTING, None) == before
+    llm.conf.set(tables.BATCH_SETTING, "64k")
+    try:
+        with tables.small_batches(llm, 1 << 20):
+            assert llm.conf.get(tables.BATCH_SETTING) == "64k"
+    finally:
+        llm.conf.unset(tables.BATCH_SETTING) if before is None else llm.conf.set(tables.BATCH_SETTING, before)
+
+
+def test_rows_of_buckets_are_not_copies():
+    one = pa.array([bytes(1 << 20)] * 64, pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(64)), one], names=["bucket", "words"])
+    tracemalloc.start()
+    sizes = [sum(len(r["words"]) for r in rows) for rows in brown._by_bucket(iter([batch]))]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sizes == [1 << 20] * 64 and peak < 1 << 20
+
+
+def test_counts_in_wide_and_narrow_numbers_are_equal(monkeypatch):
+    rng = np.random.default_rng(22)
+    words, n_texts = rng.integers(-(1 << 60), 1 << 60, 50), 30
+    size = rng.integers(0, 40, n_texts)
+    tokens = np.minimum(rng.geometric(0.1, int(size.sum())), len(words) - 1).astype(np.int32)
+    row = {
+        "chunk": 1, "held": [False, True, False] * 10, "words": words.tobytes(), "totals": np.full(50, 9),
+        "first": np.concatenate(([0], np.cumsum(size))), "tokens": tokens,
+    }
+    frequent = brown.Frequent(np.sort(words[:9]), np.zeros(9, np.int16), 5)
+    found = []
+    for kind in (brown._kind(1), brown._kind(1 << 31)):
+        monkeypatch.setattr(brown, "_kind", lambda most, kind=kind: kind)
+        pairs = np.zeros(49, np.int64)
+        found.append((brown._entries(dict(row), frequent, 8, pairs), pairs.tolist()))
+    assert found[0] == found[1]
+    # Every token of a text that is learned from, and its end, follows something.
+    assert sum(found[0][1]) == sum(int(s) + 1 for s, h in zip(size, row["held"]) if not h)

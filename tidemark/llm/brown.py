@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import arrays, tables
+from tidemark.llm import arrays, packing, tables
 
 CLASSES = 48
 ROUNDS = 5
@@ -49,11 +49,16 @@ BUCKET_WORDS, BUCKETS = 1 << 18, 256
 GROUP_BUCKETS, GROUP_WORDS = 16, 4096
 #: Text of one chunk, about.
 CHUNK_BYTES = 8 << 20
+#: Bytes of a batch of rows handed to Python, and of a row group of a staged table, both with one more row at most: what
+#: a task holds does not grow with the rows it gets.
+BATCH_BYTES, GROUP_BYTES = 4 << 20, 8 << 20
 #: Weight of the class's own share in a smoothed transition.
 TRANSITION_PRIOR = 16.0
 
+#: ``texts``, ``counts`` and ``totals`` are compressed once, by the task that packs the chunk: the rows pass through Spark
+#: in every round, and rows of less than half the size take less than half the memory there.
 CHUNKS = (
-    "chunk long, docs array<long>, held array<boolean>, first binary, tokens binary, words binary, counts binary, "
+    "chunk long, docs array<long>, held array<boolean>, texts binary, words binary, counts binary, "
     "n_words long, n_tokens long"
 )
 
@@ -88,7 +93,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([task * (1 << 24) + made]),
             pa.ListArray.from_arrays(one, rows.column("doc_id").combine_chunks()),
             pa.ListArray.from_arrays(one, pa.array(out)),
-            *(pa.array([x.tobytes()], pa.binary()) for x in (first, tokens, words, counts)),
+            *(pa.array([x], pa.binary()) for x in (packing.pack(first, tokens), words.tobytes(), packing.pack(counts))),
             pa.array([len(words)]),
             pa.array([int(counts.sum())]),
         ]
@@ -129,12 +134,11 @@ def _packed(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
     """The rows of one bucket after the other, from rows in order of buckets."""
     held: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and held[0]["bucket"] != row["bucket"]:
-                yield held
-                held = []
-            held.append(row)
+    for row in tables.rows(batches):
+        if held and held[0]["bucket"] != row["bucket"]:
+            yield held
+            held = []
+        held.append(row)
     if held:
         yield held
 
@@ -154,13 +158,12 @@ TOTALS = "chunk long, bucket long, words binary, totals binary, seen long, clust
 
 def _count_rows(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                words, counts = np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64)
-                order, some, at = _bucket(words, buckets)
-                words, counts = words[order], counts[order]
-                parts = zip(some.tolist(), at[:-1], at[1:])
-                yield _packed([(k, row["chunk"], words[i:j], counts[i:j]) for k, i, j in parts], COUNTED)
+        for row in tables.rows(batches):
+            words, (counts,) = np.frombuffer(row["words"], np.int64), packing.unpack(row["counts"])
+            order, some, at = _bucket(words, buckets)
+            words, counts = words[order], counts[order]
+            parts = zip(some.tolist(), at[:-1], at[1:])
+            yield _packed([(k, row["chunk"], words[i:j], counts[i:j]) for k, i, j in parts], COUNTED)
 
     return run
 
@@ -185,19 +188,27 @@ def _with_totals(buckets: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
-                order, _, _ = _bucket(np.frombuffer(one.column("words")[0].as_py(), np.int64), buckets)
+                order, _, _ = _bucket(np.frombuffer(one.column("words")[0].as_buffer(), np.int64), buckets)
                 totals = np.zeros(len(order), np.int64)
                 found = one.column("found")[0].as_py()
                 if found:
                     totals[order] = _joined(found, "totals", np.int64)
-                columns = [one.column(c) for c in ("chunk", "docs", "held", "first", "tokens", "words")]
-                columns.append(pa.array([totals.tobytes()], pa.binary()))
+                columns = [one.column(c) for c in ("chunk", "docs", "held", "texts", "words")]
+                columns.append(pa.array([packing.pack(totals)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in BASE.split(", ")])
 
     return run
 
 
-BASE = "chunk long, docs array<long>, held array<boolean>, first binary, tokens binary, words binary, totals binary"
+BASE = "chunk long, docs array<long>, held array<boolean>, texts binary, words binary, totals binary"
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of ``BASE`` one after the other, with their arrays."""
+    for row in tables.rows(batches):
+        row["first"], row["tokens"] = packing.unpack(row.pop("texts"))
+        (row["totals"],) = packing.unpack(row["totals"])
+        yield row
 
 
 def _back(rows: DataFrame, answers: DataFrame, *names: str) -> DataFrame:
@@ -241,9 +252,9 @@ def _sequence(row: dict, number: np.ndarray, end: int, keep: np.ndarray) -> tupl
     size = np.diff(first)
     spot = np.ones(len(tokens) + n, bool)
     spot[first[1:] + np.arange(n)] = False
-    after = np.full(len(spot), end, np.int64)
+    after = np.full(len(spot), end, number.dtype)
     after[spot] = tokens
-    before = np.concatenate(([end], after[:-1]))[: len(after)]
+    before = np.roll(after, 1)  # the last is an end
     mine = np.repeat(keep, size + 1)
     return before[mine], after[mine]
 
@@ -264,37 +275,48 @@ def _labels(row: dict, frequent: Frequent, buckets: int) -> tuple[np.ndarray, np
 ENTRIES = "bucket long, chunk long, words binary, label binary, size binary, cell binary, n binary, pairs binary"
 
 
+def _kind(most: int) -> type:
+    """Type for numbers from -``most`` to ``most``."""
+    return np.int32 if most < 1 << 31 else np.int64
+
+
+def _entries(row: dict, frequent: Frequent, buckets: int, pairs: np.ndarray) -> pa.RecordBatch:
+    """Rows of a chunk for its buckets; its class pairs are added to ``pairs``."""
+    width = frequent.classes + 2
+    stride, none = 2 * width + 1, np.zeros(0, np.int16)
+    words = np.frombuffer(row["words"], np.int64)
+    label, live = _labels(row, frequent, buckets)
+    end = len(words)
+    before, after = _sequence(row, np.arange(end, dtype=np.int32), end, ~np.array(row["held"], dtype=bool))
+    kind = np.append(label, width - 1).astype(np.int32)
+    pairs += np.bincount(kind[before] * width + kind[after], minlength=len(pairs))
+    place = np.full(end + 1, -1, _kind(len(live) * stride))
+    place[live] = np.arange(len(live))
+    itself = before == after
+    found = np.flatnonzero(place[before] >= 0)
+    key = place[before[found]] * stride + np.where(itself[found], 2 * width, kind[after[found]])
+    found = np.flatnonzero((place[after] >= 0) & ~itself)
+    key = np.concatenate((key, place[after[found]] * stride + width + kind[before[found]]))
+    del before, after, itself, found
+    key, n = np.unique(key, return_counts=True)
+    cell, n = (key % stride).astype(np.int16), n.astype(np.int32)
+    size = np.bincount(key // stride, minlength=len(live)).astype(np.int16)
+    first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+    _, some, at = _bucket(words[live], buckets)
+    out = []
+    for k, i, j in zip(some.tolist(), at[:-1], at[1:]):
+        of, cells = live[i:j], slice(first[i], first[j])
+        out.append((k, row["chunk"], words[of], label[of], size[i:j], cell[cells], n[cells], none))
+    return _packed(out, ENTRIES)
+
+
 def _entry_rows(frequent, buckets: int):
     """``frequent`` is a broadcast one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = frequent.value.classes + 2
-        stride, none = 2 * width + 1, np.zeros(0, np.int16)
-        pairs = np.zeros(width * width, np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                words = np.frombuffer(row["words"], np.int64)
-                label, live = _labels(row, frequent.value, buckets)
-                end = len(words)
-                before, after = _sequence(row, np.arange(end), end, ~np.array(row["held"], dtype=bool))
-                kind = np.append(label, width - 1).astype(np.int64)
-                pairs += np.bincount(kind[before] * width + kind[after], minlength=len(pairs))
-                place = np.full(end + 1, -1, np.int64)
-                place[live] = np.arange(len(live))
-                itself = before == after
-                follows = np.where(itself, 2 * width, kind[after])
-                key = np.concatenate((place[before] * stride + follows, place[after] * stride + width + kind[before]))
-                key = key[np.concatenate((place[before] >= 0, (place[after] >= 0) & ~itself))]
-                key, n = np.unique(key, return_counts=True)
-                cell, n = (key % stride).astype(np.int16), n.astype(np.int32)
-                size = np.bincount(key // stride, minlength=len(live)).astype(np.int16)
-                first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
-                _, some, at = _bucket(words[live], buckets)
-                out = []
-                for k, i, j in zip(some.tolist(), at[:-1], at[1:]):
-                    of, cells = live[i:j], slice(first[i], first[j])
-                    out.append((k, row["chunk"], words[of], label[of], size[i:j], cell[cells], n[cells], none))
-                yield _packed(out, ENTRIES)
+        none, pairs = np.zeros(0, np.int16), np.zeros((frequent.value.classes + 2) ** 2, np.int64)
+        for row in _opened(batches):
+            yield _entries(row, frequent.value, buckets, pairs)
         yield _packed([(-1, -1, none, none, none, none, none, pairs)], ENTRIES)
 
     return run
@@ -440,44 +462,52 @@ def _move_rows(counts, classes: int, often: int, groups: int, shares: int = 1, s
     group moves its words in a copy.
     """
 
+    width = classes + 2
+    stride = 2 * width + 1
+
+    def moved(rows: list[dict], mine: np.ndarray) -> pa.RecordBatch:
+        bucket, chunks = rows[0]["bucket"], [r["chunk"] for r in rows]
+        ends = np.cumsum([len(r["words"]) // 8 for r in rows])[:-1]
+        words, place = _numbered(_joined(rows, "words", np.int64))
+        label = np.empty(len(words), np.int64)
+        label[place] = _joined(rows, "label", np.int16)
+        cell, n = _joined(rows, "cell", np.int16), _joined(rows, "n", np.int32)
+        of = np.repeat(place, _joined(rows, "size", np.int16))
+        rows.clear()
+        # Every token of a word has one token after it, which may be the word itself.
+        total = np.bincount(of, weights=n * ((cell < width) | (cell == 2 * width)), minlength=len(words))
+        turn = np.lexsort((words, -total))
+        rank = np.empty(len(words), _kind(len(words) * stride))
+        rank[turn] = np.arange(len(words))
+        key = rank[of] * stride + cell
+        del of, cell
+        key, n = _summed(key, n, len(words) * stride)
+        singles = int((total >= often).sum())
+        for begin in [*range(singles), *range(singles, len(words), BATCH)]:
+            end = begin + 1 if begin < singles else min(begin + BATCH, len(words))
+            part = slice(*np.searchsorted(key, [begin * stride, end * stride]))
+            dense = np.zeros((end - begin) * stride)
+            dense[key[part] - begin * stride] = n[part]
+            dense = dense.reshape(-1, stride)
+            after, before, own = dense[:, :width], dense[:, width : 2 * width], dense[:, -1]
+            which = turn[begin:end]
+            if begin < singles:
+                old = int(label[which[0]])
+                label[which] = best_class(mine, classes, old, after[0], before[0], own[0])
+            else:
+                label[which] = best_classes(mine, classes, label[which], after, before, own)
+        label = label.astype(np.int16)
+        return _packed([(c, bucket, label[p]) for c, p in zip(chunks, np.split(place, ends))], ANSWERS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = classes + 2
-        stride, group, mine = 2 * width + 1, -1, None
+        group, mine = -1, None
         for rows in _by_bucket(batches):
             if rows[0]["bucket"] % groups != group:
                 group, mine = rows[0]["bucket"] % groups, counts.value.copy()
             if rows[0]["bucket"] // groups % shares != share:
                 yield _packed([(r["chunk"], r["bucket"], np.frombuffer(r["label"], np.int16)) for r in rows], ANSWERS)
-                continue
-            words, place = _numbered(_joined(rows, "words", np.int64))
-            label = np.empty(len(words), np.int64)
-            label[place] = _joined(rows, "label", np.int16)
-            cell, n = _joined(rows, "cell", np.int16), _joined(rows, "n", np.int32)
-            of = np.repeat(place, _joined(rows, "size", np.int16))
-            # Every token of a word has one token after it, which may be the word itself.
-            total = np.bincount(of, weights=n * ((cell < width) | (cell == 2 * width)), minlength=len(words))
-            turn = np.lexsort((words, -total))
-            rank = np.empty(len(words), np.int64)
-            rank[turn] = np.arange(len(words))
-            key, n = _summed(rank[of] * stride + cell, n, len(words) * stride)
-            singles = int((total >= often).sum())
-            for begin in [*range(singles), *range(singles, len(words), BATCH)]:
-                end = begin + 1 if begin < singles else min(begin + BATCH, len(words))
-                part = slice(*np.searchsorted(key, [begin * stride, end * stride]))
-                dense = np.zeros((end - begin) * stride)
-                dense[key[part] - begin * stride] = n[part]
-                dense = dense.reshape(-1, stride)
-                after, before, own = dense[:, :width], dense[:, width : 2 * width], dense[:, -1]
-                which = turn[begin:end]
-                if begin < singles:
-                    old = int(label[which[0]])
-                    label[which] = best_class(mine, classes, old, after[0], before[0], own[0])
-                else:
-                    label[which] = best_classes(mine, classes, label[which], after, before, own)
-            label = label.astype(np.int16)
-            ends = np.cumsum([len(r["words"]) // 8 for r in rows])[:-1]
-            bucket = rows[0]["bucket"]
-            yield _packed([(r["chunk"], bucket, label[p]) for r, p in zip(rows, np.split(place, ends))], ANSWERS)
+            else:
+                yield moved(rows, mine)
 
     return run
 
@@ -487,7 +517,7 @@ def cluster(
 ) -> tuple[DataFrame, np.ndarray]:
     """Exchange rounds; returns the chunks with the classes of their words, and the class bigram counts."""
     context, classes = base.sparkSession.sparkContext, frequent.value.classes
-    rows = base.select("chunk", "held", "first", "tokens", "words", "totals")
+    rows = base.select("chunk", "held", "texts", "words", "totals")
 
     entries_at = best_at = ""
 
@@ -495,7 +525,8 @@ def cluster(
         nonlocal entries_at
         joined = rows if answers is None else _back(rows, answers, "label")
         entries_at = f"entries{turn}"
-        entries = staging.put(joined.mapInArrow(_entry_rows(frequent, buckets), ENTRIES), entries_at)
+        entries = joined.mapInArrow(_entry_rows(frequent, buckets), ENTRIES)
+        entries = staging.put(entries, entries_at, group_bytes=GROUP_BYTES)
         return entries, _class_counts(entries, classes + 2)
 
     best, parts = None, 1
@@ -507,7 +538,7 @@ def cluster(
         move = _move_rows(held, classes, often, groups, parts, turn % parts)
         dealt = entries.filter("bucket >= 0").drop("pairs").withColumn("group", (F.col("bucket") % groups).cast("int"))
         dealt = dealt.repartitionById(groups, "group").sortWithinPartitions("group", "bucket").drop("group")
-        moved = staging.put(dealt.mapInArrow(move, ANSWERS), f"classes{turn}", keep=True)
+        moved = staging.put(dealt.mapInArrow(move, ANSWERS), f"classes{turn}")
         staging.release(entries_at)
         entries, fresh = counted(moved, f"{turn + 1}")
         better = likelihood(fresh)
@@ -611,8 +642,8 @@ def scores(
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held"), F.col("text").cast("binary").alias("text")
     )
-    with tables.Staging(spark, "brown") as staging:
-        chunks = staging.put(texts.mapInArrow(_pack, CHUNKS), "chunks")
+    with tables.Staging(spark, "brown") as staging, tables.small_batches(spark, BATCH_BYTES):
+        chunks = staging.put(texts.mapInArrow(_pack, CHUNKS), "chunks", group_bytes=GROUP_BYTES)
         found = chunks.agg(F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens")).first()
         ends = texts.filter(~F.col("held")).count()
         tokens = int(found["tokens"] or 0) + ends
@@ -630,7 +661,7 @@ def scores(
         rank[np.lexsort((word, -total))] = np.arange(len(word))
         frequent = Frequent(word[order], (rank % classes)[order], classes, least)
         answered = _back(chunks, totals.filter("chunk >= 0"), "totals")
-        base = staging.put(answered.mapInArrow(_with_totals(buckets), BASE), "base", keep=True)
+        base = staging.put(answered.mapInArrow(_with_totals(buckets), BASE), "base", group_bytes=GROUP_BYTES)
         staging.release("chunks")
         staging.release("totals")
         starts = spark.sparkContext.broadcast(frequent)
@@ -639,11 +670,10 @@ def scores(
         held = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    yield _score(batch.slice(i, 1).to_pylist()[0], held.value)
+            for row in _opened(batches):
+                yield _score(row, held.value)
 
-        return labelled.mapInArrow(run, SCORES)
+        return staging.put(labelled.mapInArrow(run, SCORES), "scores", keep=True)
 
 
 def op1_brown_scores(spark, sf_dir: str) -> DataFrame:

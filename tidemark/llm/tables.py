@@ -11,7 +11,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
-
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -93,9 +93,16 @@ class Staging:
     def keep(self, path: str) -> None:
         self._kept.add(path)
 
-    def put(self, df: DataFrame, name: str, keep: bool = False, codec: str = "zstd") -> DataFrame:
+    def put(
+        self, df: DataFrame, name: str, keep: bool = False, codec: str = "zstd", group_bytes: int | None = None
+    ) -> DataFrame:
+        """``group_bytes`` is for tables of large rows: a row group ends with the row that reaches it. Else Spark's
+        writer looks at what it holds every 100 rows only, and its reader fetches as many at once."""
         path = f"{self.base}/{name}"
-        df.write.option("compression", codec).parquet(path)
+        writer = df.write.option("compression", codec)
+        if group_bytes:
+            writer = writer.option("parquet.block.size", group_bytes).option("parquet.page.size.row.check.min", 1)
+        writer.parquet(path)
         found, system = self._hadoop(path)
         system.deleteOnExit(found)
         self._made.append(path)
@@ -111,6 +118,36 @@ class Staging:
         self.drop(f"{self.base}/{name}")
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What runs inside hands rows to Python in batches that end with the row that reaches ``size`` bytes.
+
+    A batch is held by Spark outside its heap, twice over while its arrays grow, and by Python.
+    """
+    before = spark.conf.get(BATCH_SETTING, None)
+    bytes_of = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if before is None or not 0 < bytes_of(before) <= size:
+        spark.conf.set(BATCH_SETTING, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
+def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """One row after the other; bytes are buffers that lie in the batch, not copies."""
+    for batch in batches:
+        columns = [(f.name, batch.column(i), pa.types.is_binary(f.type)) for i, f in enumerate(batch.schema)]
+        for i in range(batch.num_rows):
+            yield {name: column[i].as_buffer() if binary else column[i].as_py() for name, column, binary in columns}
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows again, in runs that hold about ``SLICE_BYTES`` of ``column``."""
     for batch in batches:
